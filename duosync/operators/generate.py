@@ -23,9 +23,10 @@ SLOTS = {
     "account": 8,
     "lock": 9,
     "attempt": 10,
-    "credit_1": 11,
+    # Ids fall as the number rises, so this order sorts the credits before the debit.
+    "debit": 11,
     "credit_2": 12,
-    "debit": 13,
+    "credit_1": 13,
     "audit": 14,
 }
 SLOT_BITS = 5

@@ -3,7 +3,8 @@
 A lookup reduces the looked-up side to one row per key *before* it is joined. Neither a
 popular key nor a repeated one can then multiply rows, and the reduction combines on the
 map side. ``restrict`` first cuts the looked-up table to the keys of the batch, so that a
-small batch does not shuffle a large table. No join is forced to broadcast: the optimizer
+small batch does not shuffle a large table; ``wanted`` names the frame those keys come
+from, where the events themselves are already a long plan. No join is forced to broadcast: the optimizer
 does so from the sizes it measures.
 """
 
@@ -58,6 +59,7 @@ def enrich(
     dim: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column] | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of ``dim``, NULLs where it has no row.
 
@@ -65,16 +67,21 @@ def enrich(
     ``order`` is taken.
     """
     keys = list(keys)
+    dim = restrict(dim, ev if wanted is None else wanted, keys)
     if order is not None:
-        dim = pick_one(restrict(dim, ev, keys), keys, order, newest=False)
+        dim = pick_one(dim, keys, order, newest=False)
     return ev.join(dim, keys, "left")
 
 
 def first_match(
-    ev: DataFrame, dim: DataFrame, keys: Sequence[str], order: Sequence[Column]
+    ev: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Any one matching row; we take the first in an explicit order."""
-    return enrich(ev, dim, keys, order)
+    return enrich(ev, dim, keys, order, wanted)
 
 
 def latest(
@@ -83,14 +90,14 @@ def latest(
     keys: Sequence[str],
     order: Sequence[Column],
     pred: Column | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """The newest matching fact per event; ``order`` sorts ascending, ties included."""
     keys = list(keys)
     if pred is not None:
         fact = fact.filter(pred)
-    return ev.join(
-        pick_one(restrict(fact, ev, keys), keys, order, newest=True), keys, "left"
-    )
+    fact = restrict(fact, ev if wanted is None else wanted, keys)
+    return ev.join(pick_one(fact, keys, order, newest=True), keys, "left")
 
 
 def same_day(c: Column | str) -> Column:
@@ -99,7 +106,11 @@ def same_day(c: Column | str) -> Column:
 
 
 def lookup_one(
-    ev: DataFrame, dim: DataFrame, keys: Sequence[str], found: str = "n_found"
+    ev: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    found: str = "n_found",
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of a dimension that should hold exactly one row per key.
 
@@ -109,7 +120,7 @@ def lookup_one(
     keys = list(keys)
     rest = _others(dim, keys)
     # With one matching row the smallest struct is that row.
-    counted = restrict(dim, ev, keys).groupBy(*keys).agg(
+    counted = restrict(dim, ev if wanted is None else wanted, keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias(found), F.min(F.struct(*rest)).alias("_row")
     )
     single = F.col(found) == 1
