@@ -97,11 +97,6 @@ def fold_patches(patches: DataFrame, shape: PatchShape) -> DataFrame:
     return patches.groupBy(*shape.keys).agg(*aggs)
 
 
-def empty_target_columns(shape: PatchShape) -> list[str]:
-    """Bookkeeping columns a target snapshot carries beside its data."""
-    return [*shape.seq_columns(), "_event_id"]
-
-
 def with_bookkeeping(tgt: DataFrame, shape: PatchShape) -> DataFrame:
     """Add the bookkeeping columns to a plain snapshot."""
     have = set(tgt.columns)

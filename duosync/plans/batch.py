@@ -21,7 +21,14 @@ from duosync.plans import legacy_side as legacy
 from duosync.plans import modern_side as modern
 from duosync.plans.lineage import Scratch
 from duosync.plans.target import KEYS, SHAPE
-from duosync.sources.schemas import FEEDS, TABLES, envelope, schema
+from duosync.sources.schemas import (
+    ACCOUNT_RESULT,
+    DEPOSIT_RESULT,
+    FEEDS,
+    TABLES,
+    envelope,
+    schema,
+)
 
 Tables = dict[str, DataFrame]
 
@@ -114,77 +121,87 @@ def run_batch(
     are written to the checkpoint folder; ``release`` of the result deletes them.
     """
     spark = tables["target"].sparkSession
+    given = set(feeds)
     feeds = {**empty_feeds(spark), **feeds}
     keep = Scratch(spark)
 
     start = tables
     t = dict(tables)
-    for name in ("modern_account", "modern_deposit", "verification", "attempt", "transaction"):
+    for name in given & {"modern_account", "modern_deposit", "verification", "attempt", "transaction"}:
         t[name] = apply_images(start[name], feeds[name], ROW_IDS[name])
 
     # Stage 1: modern side. Accounts leave users and bank accounts that deposits look up;
     # deposits leave verifications that accounts look up.
-    parties = modern.resolve_parties(feeds["modern_account"], start, keep)
-    parties = tuple(keep(p) for p in parties)
-    t["user"] = start["user"].unionByName(parties[1])
-    t["bank_account"] = start["bank_account"].unionByName(parties[2])
-
-    deposits_in = keep(modern.enrich_deposits(feeds["modern_deposit"], t, keep))
-    deposits = modern.apply_modern_deposits(
-        feeds["modern_deposit"], t, now, mask=mask, enriched=deposits_in
-    )
-    t.update(modern.deposit_tables(t, deposits))
+    made: Tables = {}
+    parties = None
+    if "modern_account" in given:
+        parties = modern.resolve_parties(feeds["modern_account"], start, keep)
+        parties = tuple(keep(p) for p in parties)
+        t["user"] = start["user"].unionByName(parties[1])
+        t["bank_account"] = start["bank_account"].unionByName(parties[2])
+
+    deposits = _empty(spark, DEPOSIT_RESULT)
+    if "modern_deposit" in given:
+        enriched = keep(modern.enrich_deposits(feeds["modern_deposit"], t, keep))
+        deposits = modern.apply_modern_deposits(
+            feeds["modern_deposit"], t, now, mask=mask, enriched=enriched
+        )
+        made["attempt"] = deposits["attempt_events"]
+        t.update(modern.deposit_tables(t, deposits))
 
     account_feed = feeds["customer_account"]
-    decided = keep(
-        modern.decide_accounts(
-            parties[0], t, account_feed=account_feed, waves=waves, fix_exists=fix_exists,
-            cut=keep,
-        )
-    )
-    accounts = modern.apply_modern_accounts(
-        feeds["modern_account"], t, now, account_feed=account_feed, parties=parties,
-        mask=mask, decided=decided,
-    )
-    made_verified = modern.verification_events(t, accounts["verification_patch"])
-    t["verification"] = update_from(
-        t["verification"], accounts["verification_patch"], ["bank_account_verification_id"],
-        ["verified_date", "result"],
-    ).unionByName(accounts["verification"])
-    key = ["modern_bank_account_id"]
-    map_cols = ["modern_micro_deposit_id", "legacy_micro_deposit_id"]
-    t["id_map"] = update_from(
-        start["id_map"].unionByName(accounts["id_map"]), deposits["id_map_patch"], key, map_cols
-    )
-    legacy_accounts = apply_images(
+    accounts = _empty(spark, ACCOUNT_RESULT)
+    customer_accounts = apply_images(
         start["customer_account"], account_feed, ROW_IDS["customer_account"]
     )
-    final_accounts = keep(
-        modern.account_snapshot(start["customer_account"], accounts, account_feed)
+    t["customer_account"] = customer_accounts
+    if parties is not None:
+        decided = keep(
+            modern.decide_accounts(
+                parties[0], t | {"customer_account": start["customer_account"]},
+                account_feed=account_feed if "customer_account" in given else None,
+                waves=waves, fix_exists=fix_exists, cut=keep,
+            )
+        )
+        accounts = modern.apply_modern_accounts(
+            parties[0], t, now, parties=parties, mask=mask, decided=decided
+        )
+        made["verification"] = modern.verification_events(t, accounts["verification_patch"])
+        t["verification"] = update_from(
+            t["verification"], accounts["verification_patch"], ["bank_account_verification_id"],
+            ["verified_date", "result"],
+        ).unionByName(accounts["verification"])
+        final = keep(modern.account_snapshot(start["customer_account"], accounts, account_feed))
+        made["customer_account"] = modern.derived_account_events(customer_accounts, final, accounts)
+        t["customer_account"] = final.drop("born_seq")
+    t["id_map"] = update_from(
+        start["id_map"].unionByName(accounts["id_map"]), deposits["id_map_patch"],
+        ["modern_bank_account_id"], ["modern_micro_deposit_id", "legacy_micro_deposit_id"],
     )
-    made_accounts = modern.derived_account_events(legacy_accounts, final_accounts, accounts)
-    t["customer_account"] = final_accounts.drop("born_seq")
 
     # Stage 2: legacy side.
-    def with_made(name: str, made: DataFrame) -> DataFrame:
-        return feeds[name].unionByName(made)
-
-    rows_in = keep(
-        legacy.enrich_customer_accounts(with_made("customer_account", made_accounts), t, keep)
-    )
-    checks_in = keep(legacy.enrich_verifications(with_made("verification", made_verified), t, keep))
-    tries_in = keep(
-        legacy.enrich_attempts(
-            with_made("attempt", deposits["attempt_events"]), t, start["attempt"], keep
-        )
-    )
-    results = [
-        legacy.apply_customer_accounts(rows_in, t, now, mask=mask, enriched=rows_in),
-        legacy.apply_verifications(checks_in, t, now, mask=mask, enriched=checks_in),
-        legacy.apply_attempts(tries_in, t, now, enriched=tries_in),
-        legacy.apply_transaction_status(feeds["transaction"], t, now),
-    ]
-    patches = keep(union_all([r["patches"] for r in results]))
+    def legacy_feed(name: str) -> DataFrame | None:
+        parts = [feeds[name]] if name in given else []
+        if name in made:
+            parts.append(made[name])
+        return union_all(parts) if parts else None
+
+    results = []
+    if (ev := legacy_feed("customer_account")) is not None:
+        enriched = keep(legacy.enrich_customer_accounts(ev, t, keep))
+        results.append(legacy.apply_customer_accounts(ev, t, now, mask=mask, enriched=enriched))
+    if (ev := legacy_feed("verification")) is not None:
+        enriched = keep(legacy.enrich_verifications(ev, t, keep))
+        results.append(legacy.apply_verifications(ev, t, now, mask=mask, enriched=enriched))
+    if (ev := legacy_feed("attempt")) is not None:
+        enriched = keep(legacy.enrich_attempts(ev, t, start["attempt"], keep))
+        results.append(legacy.apply_attempts(ev, t, now, enriched=enriched))
+    # Postings of the deposit flow touch migrated verifications only, which this flow leaves.
+    if (ev := legacy_feed("transaction")) is not None:
+        results.append(legacy.apply_transaction_status(ev, t, now))
+    patches = empty_patches(spark)
+    if results:
+        patches = keep(union_all([r["patches"] for r in results]))
     t["target"] = apply_patches(start["target"], patches, SHAPE, strict_keys=strict_keys)
 
     logs = [accounts["log"], deposits["log"], *[r["log"] for r in results]]
@@ -197,43 +214,62 @@ def run_batch(
         "outbox": accounts["outbox"],
         "log": union_all(logs),
     }
-    touched = _touched(feeds, accounts, deposits, parties, patches)
+    events = None if parties is None else parties[0]
+    touched = _touched(feeds, given, accounts, deposits, events, patches)
     return BatchResult(outputs, t, touched, patches, keep.release)
 
 
-def _touched(feeds, accounts, deposits, parties, patches) -> dict[str, DataFrame]:
+def _empty(spark: SparkSession, ddls: dict[str, str]) -> Tables:
+    return {n: spark.createDataFrame([], schema(ddl)) for n, ddl in ddls.items()}
+
+
+def empty_patches(spark: SparkSession) -> DataFrame:
+    ddl = ", ".join(f"{c} {k}" for c, k in zip(SHAPE.columns, SHAPE.types, strict=True))
+    return spark.createDataFrame(
+        [],
+        f"legacy_customer_id long, routing_number string, account_number string, seq long, "
+        f"event_id string, {ddl}, update_mask long, insert_mask long",
+    )
+
+
+def _touched(feeds, given, accounts, deposits, events, patches) -> dict[str, DataFrame]:
+    """Changed key values of every table that can have changed."""
+    ver = "bank_account_verification_id"
+
     def fed(name: str, col: str) -> list[DataFrame]:
-        f = feeds[name]
+        if name not in given:
+            return []
+        images = ("before", "after")
         return [
-            f.select(F.col(f"{image}.{col}").alias(col)).filter(F.col(image).isNotNull())
-            for image in ("before", "after")
+            feeds[name].filter(F.col(i).isNotNull()).select(F.col(f"{i}.{col}").alias(col))
+            for i in images
         ]
 
-    ver = "bank_account_verification_id"
-    posted = [deposits["posting"], deposits["cancelling"]]
-    # Every account the modern side opens, moves or removes belongs to a customer it names.
-    customers = parties[0].select(F.col("after.legacy_customer_id").alias("customer_id"))
-    return {
-        "modern_account": _keys(fed("modern_account", "stage_sequence_id"), "stage_sequence_id"),
-        "modern_deposit": _keys(fed("modern_deposit", "stage_sequence_id"), "stage_sequence_id"),
-        "customer_account": _keys([*fed("customer_account", "customer_id"), customers], "customer_id"),
-        "verification": _keys(
-            [
-                *fed("verification", ver),
-                accounts["verification"],
-                accounts["verification_patch"],
-                deposits["verification"],
-            ],
-            ver,
-        ),
-        "attempt": _keys([*fed("attempt", "id"), deposits["attempt"]], "id"),
-        "transaction": _keys(
-            [*fed("transaction", ver), deposits["transaction"], deposits["posting"]], ver
-        ),
-        "bank_account": _keys([accounts["bank_account"]], "id"),
-        "user": _keys([accounts["user"]], "id"),
-        "lock": _keys([deposits["lock"]], "id"),
-        "deposit_verification": _keys([deposits["deposit_verification"], *posted], ver),
-        "id_map": _keys([accounts["id_map"], deposits["id_map_patch"]], "modern_bank_account_id"),
-        "target": _keys([patches], *KEYS),
+    parts: dict[str, list[DataFrame]] = {
+        "modern_account": fed("modern_account", "stage_sequence_id"),
+        "modern_deposit": fed("modern_deposit", "stage_sequence_id"),
+        "customer_account": fed("customer_account", "customer_id"),
+        "verification": fed("verification", ver),
+        "attempt": fed("attempt", "id"),
+        "transaction": fed("transaction", ver),
+        "target": [patches],
     }
+    if events is not None:
+        # Every account the modern side opens, moves or removes belongs to a customer it names.
+        parts["customer_account"].append(
+            events.select(F.col("after.legacy_customer_id").alias("customer_id"))
+        )
+        parts["verification"] += [accounts["verification"], accounts["verification_patch"]]
+        parts["bank_account"] = [accounts["bank_account"]]
+        parts["user"] = [accounts["user"]]
+        parts["id_map"] = [accounts["id_map"]]
+    if "modern_deposit" in given:
+        parts["verification"].append(deposits["verification"])
+        parts["attempt"].append(deposits["attempt"])
+        parts["transaction"] += [deposits["transaction"], deposits["posting"]]
+        parts["lock"] = [deposits["lock"]]
+        parts["deposit_verification"] = [
+            deposits[n] for n in ("deposit_verification", "posting", "cancelling")
+        ]
+        parts["id_map"] = [*parts.get("id_map", []), deposits["id_map_patch"]]
+    return {n: _keys(frames, *REPLACE_KEYS[n]) for n, frames in parts.items() if frames}

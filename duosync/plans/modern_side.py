@@ -561,16 +561,20 @@ def apply_modern_accounts(
     waves: int | None = None,
     mask: bool = True,
     fix_exists: bool = False,
+    cut: Cut = no_cut,
     decided: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """External accounts: registration, verification, primary switch, type change, removal.
 
     ``account_feed`` holds the legacy side's customer-account events of the same batch.
+    ``parties`` and ``decided`` take the steps' results where the caller has them already.
     """
-    ev, new_users, new_banks = parties or resolve_parties(ev, tables)
+    ev, new_users, new_banks = parties or resolve_parties(ev, tables, cut)
     if decided is None:
-        decided = decide_accounts(
-            ev, tables, account_feed=account_feed, waves=waves, fix_exists=fix_exists
+        decided = cut(
+            decide_accounts(
+                ev, tables, account_feed=account_feed, waves=waves, fix_exists=fix_exists, cut=cut
+            )
         )
 
     fine = decided.filter(~F.col("ambiguous") & ~F.col("unverified"))

@@ -132,6 +132,43 @@ OUTPUTS = {
     "log": LOG,
 }
 
+# What the modern-side flows return beside their outputs.
+ACCOUNT_RESULT = {
+    "user": USER,
+    "bank_account": BANK_ACCOUNT,
+    "case": WORK_CASE,
+    "audit": AUDIT,
+    "verification": VERIFICATION,
+    "verification_patch": """
+        bank_account_verification_id long, verified_date timestamp, result string, seq long,
+        event_id string
+    """,
+    "history": HISTORY,
+    "outbox": OUTBOX,
+    "id_map": ID_MAP,
+    "log": LOG,
+    "account_opened": f"{CUSTOMER_ACCOUNT}, seq long",
+    "account_retyped": "customer_bank_account_id long, account_type_id int, seq long",
+    "account_removed": "customer_bank_account_id long, seq long",
+    "promotion": "event_id string, customer_id long, account_id long, seq long",
+}
+DEPOSIT_RESULT = {
+    "case": WORK_CASE,
+    "audit": AUDIT,
+    "verification": VERIFICATION,
+    "deposit_verification": DEPOSIT_VERIFICATION,
+    "transaction": TRANSACTION,
+    "id_map_patch": """
+        modern_bank_account_id long, modern_micro_deposit_id long, legacy_micro_deposit_id long,
+        seq long
+    """,
+    "posting": "bank_account_verification_id long, ach_posted_date timestamp, seq long",
+    "cancelling": "bank_account_verification_id long, canceled_date timestamp",
+    "lock": LOCK,
+    "attempt": ATTEMPT,
+    "log": LOG,
+}
+
 
 def envelope(row_ddl: str) -> T.StructType:
     """Schema of a change feed whose images have the given columns."""
