@@ -16,7 +16,7 @@ from duosync.operators.lookup import enrich, latest
 from duosync.operators.merge import apply_patches
 from duosync.plans import legacy_side as legacy
 from duosync.plans import modern_side as modern
-from duosync.plans.batch import empty_tables, run_batch
+from duosync.plans.batch import run_batch, with_empty_tables
 from duosync.plans.lineage import Scratch, checkpoint_folder
 from duosync.plans.target import KEYS, SHAPE, VALUES
 from duosync.sources.feeds import as_events
@@ -97,9 +97,7 @@ def legacy_tables(d: Data) -> dict[str, DataFrame]:
         "modern_account": d.sql(STAGED_ACCOUNT),
         "target": d.sql(TARGET),
     }
-    tables = empty_tables(d.spark)
-    tables.update({n: conform(df, TABLES[n]) for n, df in parts.items()})
-    return tables
+    return with_empty_tables(d.spark, {n: conform(df, TABLES[n]) for n, df in parts.items()})
 
 
 def image(values: dict[str, Column], ddl: str) -> Column:
@@ -393,9 +391,7 @@ def modern_tables(d: Data) -> dict[str, DataFrame]:
             "credit_account_id",
         ),
     }
-    tables = empty_tables(d.spark)
-    tables.update({n: conform(df, TABLES[n]) for n, df in parts.items()})
-    return tables
+    return with_empty_tables(d.spark, {n: conform(df, TABLES[n]) for n, df in parts.items()})
 
 
 def modern_account_feed(d: Data) -> DataFrame:

@@ -427,7 +427,7 @@ rows_after AS (
   SELECT n, {_new_id(8)}, customer_id, account_number, type_id, n FROM act WHERE opens),
 won AS (SELECT customer_id, max(n) AS last FROM act WHERE promotes GROUP BY customer_id)
 SELECT customer_bank_account_id, r.customer_id, account_number, account_type_id,
-  CASE WHEN born < last AND n = last THEN 1 ELSE 0 END AS is_primary
+  CASE WHEN born <= last AND n = last THEN 1 ELSE 0 END AS is_primary
 FROM rows_after r LEFT JOIN won w ON w.customer_id = r.customer_id
 """
 

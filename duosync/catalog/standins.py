@@ -95,6 +95,11 @@ class Data:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
+        # Set as a plain attribute, so each table's footer is read once.
+        setattr(self, name, self._read(name))
+        return self.__dict__[name]
+
+    def _read(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df.select(
             *[

@@ -71,12 +71,16 @@ class BatchResult:
     release: Callable[[], None] = lambda: None
 
 
-def empty_feeds(spark: SparkSession) -> Tables:
-    return {n: spark.createDataFrame([], envelope(ddl)) for n, ddl in FEEDS.items()}
+def with_empty_feeds(spark: SparkSession, feeds: Tables) -> Tables:
+    """The feeds, with an empty one for each that is absent."""
+    absent = {n: envelope(ddl) for n, ddl in FEEDS.items() if n not in feeds}
+    return {**feeds, **{n: spark.createDataFrame([], s) for n, s in absent.items()}}
 
 
-def empty_tables(spark: SparkSession) -> Tables:
-    return {n: spark.createDataFrame([], schema(ddl)) for n, ddl in TABLES.items()}
+def with_empty_tables(spark: SparkSession, tables: Tables) -> Tables:
+    """The tables, with an empty one for each that is absent."""
+    absent = {n: schema(ddl) for n, ddl in TABLES.items() if n not in tables}
+    return {**tables, **{n: spark.createDataFrame([], s) for n, s in absent.items()}}
 
 
 def latest_images(feed: DataFrame, row_id: str) -> DataFrame:
@@ -122,7 +126,7 @@ def run_batch(
     """
     spark = tables["target"].sparkSession
     given = set(feeds)
-    feeds = {**empty_feeds(spark), **feeds}
+    feeds = with_empty_feeds(spark, feeds)
     keep = Scratch(spark)
 
     start = tables

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
+_TYPES = {
+    "long": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    MONEY: T.DecimalType(18, 2),
+}
 
 
 def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    """The struct of a "name type, name type" text; needs no session, so imports may use it."""
+    fields = re.findall(r"(\w+)\s+(\w+(?:\(\d+,\d+\))?)", ddl)
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 MODERN_ACCOUNT = """
