@@ -14,6 +14,8 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("duosync-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        # Hand-written tables hold a few rows: one partition each.
+        .config("spark.default.parallelism", "1")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
