@@ -239,13 +239,15 @@ def one_primary(
 
     ``promotions`` holds valid promotions as (customer, account, seq). The last one wins and
     clears the flag of the customer's other accounts, except those born after it, which keep
-    their own. The promoting event may itself open the account. ``accounts`` are the live ones; ``born_seq`` is -1 for stored accounts.
+    their own. The promoting event may itself open the promoted account. ``accounts`` are the live ones; ``born_seq`` is -1 for stored accounts.
     """
     last = promotions.groupBy(customer).agg(
         F.max(F.struct(F.col("seq"), F.col(account).alias("winner"))).alias("_last")
     )
-    decided = F.col("_last").isNotNull() & (F.col(born) <= F.col("_last.seq"))
-    wins = F.when(F.col(account) == F.col("_last.winner"), 1).otherwise(0)
+    is_winner = F.col(account) == F.col("_last.winner")
+    opened_by_it = is_winner & (F.col(born) == F.col("_last.seq"))
+    decided = F.col("_last").isNotNull() & ((F.col(born) < F.col("_last.seq")) | opened_by_it)
+    wins = F.when(is_winner, 1).otherwise(0)
     return (
         accounts.join(last, [customer], "left")
         .withColumn(flag, F.when(decided, wins).otherwise(F.col(flag)).cast("int"))
