@@ -184,7 +184,7 @@ def transaction_feed(d: Data) -> DataFrame:
     new = {**_cols("id", "created_date", "amount", "accounting_transaction_type",
                    "bank_account_verification_id"), "status": F.col("next_status")}
     old = {**new, "status": F.col("status")}
-    seq = (F.col("bank_account_verification_id") * 10**12 + F.col("id")) * 4 + 3
+    seq = F.col("id") * 4 + 3
     touched = F.array(F.lit("status"))
     return _event(df, "transaction", seq, F.lit("U"), old, new, updated=touched)
 

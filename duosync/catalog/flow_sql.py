@@ -360,7 +360,7 @@ def transaction_patches() -> str:
         "legacy_customer_id": "a.customer_id",
         "routing_number": "a.routing_number",
         "account_number": "a.account_number",
-        "seq": "(t.bank_account_verification_id * 1000000000000 + t.id) * 4 + 3",
+        "seq": "t.id * 4 + 3",
         "kind": "'statuses'",
         **{f"md{i}_status": "t.next_status" for i in (1, 2, 3)},
     }

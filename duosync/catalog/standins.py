@@ -24,10 +24,10 @@ SELECT o_orderkey AS id, o_custkey AS account, o_orderdate AS created_date,
 FROM {orders}
 """
 
-# Transactions from line items. The id is unique per verification.
+# Transactions from line items. The id is unique over all verifications.
 TXN = """
 SELECT l_orderkey AS bank_account_verification_id,
-  ((l_partkey * 10 + l_linenumber) * 10000 + l_suppkey) * 100
+  l_orderkey * 1000000000000 + ((l_partkey * 10 + l_linenumber) * 10000 + l_suppkey) * 100
     + CAST(l_quantity AS BIGINT) AS id,
   l_shipdate AS created_date, l_extendedprice AS amount, l_linestatus AS status,
   CASE WHEN l_returnflag = 'R' THEN 'Debit' ELSE 'Credit' END AS accounting_transaction_type,
