@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from duosync.llm.common import Scratch, table
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
+from duosync.llm.styletree import extract
 
 SHARDS = 24
 
@@ -27,9 +28,14 @@ def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), Scratch(spark), [1.0] * SHARDS)
 
 
+def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"), Scratch(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op8_rendezvous": op8_rendezvous,
+    "op10_style_tree": op10_style_tree,
 }
 
 SQL: dict[str, str] = {}
