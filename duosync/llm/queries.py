@@ -10,6 +10,7 @@ from duosync.llm.common import Scratch, table
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
 from duosync.llm.styletree import extract
+from duosync.llm.warc import archive_pages
 
 SHARDS = 24
 
@@ -24,6 +25,10 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Scratch(spark), tokenizer_file())
 
 
+def op3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"), Scratch(spark))
+
+
 def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), Scratch(spark), [1.0] * SHARDS)
 
@@ -34,8 +39,23 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op3_segments": op3_segments,
     "op8_rendezvous": op8_rendezvous,
     "op10_style_tree": op10_style_tree,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_segments": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM m
+""",
+}
