@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duosync.llm.common import Scratch, table
+from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
 from duosync.llm.styletree import extract
@@ -29,6 +30,10 @@ def op3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"), Scratch(spark))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), Scratch(spark), [1.0] * SHARDS)
 
@@ -40,6 +45,7 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op3_segments": op3_segments,
+    "op4_minhash": op4_minhash,
     "op8_rendezvous": op8_rendezvous,
     "op10_style_tree": op10_style_tree,
 }
