@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from duosync.plans.lineage import Scratch
 
-__all__ = ["Scratch", "row_chunks", "slots", "table"]
+__all__ = ["Scratch", "block_pairs", "row_chunks", "slots", "table"]
 
 # Rows of one input partition that are numbered together: 2 ** CHUNK_BITS.
 CHUNK_BITS = 16
@@ -50,3 +50,28 @@ def slots(written: DataFrame, group: str, name: str = "slot") -> DataFrame:
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_row", "_chunk", "_before", "_inside")
     )
+
+
+def block_pairs(
+    members: DataFrame, sizes: DataFrame, key: str, node: str, block: int, scratch: Scratch
+) -> DataFrame:
+    """Deal the members of each ``key`` into blocks, and give each pair of blocks its rows.
+
+    ``sizes`` has (key, n). Adds ``i`` and ``j`` (i <= j), the pair of blocks a row is for, and
+    ``side``: 0 for block i, 1 for block j (rows of a block with itself have side 0). Groups of
+    (key, i, j) hold about two blocks, however many members a key has, and every two members
+    meet in exactly one group. Members of keys that ``sizes`` leaves out go. The sizes are written
+    first, so Spark can split a hot key's partition in the join, or broadcast the small side.
+    """
+    counted = scratch(sizes.select(key, F.ceil(F.col("n") / block).cast("int").alias("_blocks")))
+    at = (
+        "transform(sequence(0, _blocks - 1), o -> named_struct("
+        "'i', least(o, _b), 'j', greatest(o, _b), 'side', IF(_b > o, 1, 0)))"
+    )
+    return (
+        members.join(counted, key)
+        .withColumn("_b", F.expr(f"CAST(pmod(xxhash64({node}), _blocks) AS INT)"))
+        .withColumn("_at", F.explode(F.expr(at)))
+        .select("*", "_at.i", "_at.j", "_at.side")
+        .drop("_blocks", "_b", "_at")
+    )

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duosync.llm.common import Scratch
+from duosync.llm.common import Scratch, block_pairs
 from duosync.llm.components import components
 
 WORDS = 5
@@ -242,28 +242,14 @@ def _remaining(members: DataFrame, sketches: DataFrame, scratch: Scratch) -> Dat
     A bucket's members are dealt into blocks, and each pair of blocks is one group, so no task
     holds more than two blocks of a bucket.
     """
-    open_buckets = (
+    sizes = (
         members.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
         .filter("low <> high")
-        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("bucket", "n")
     )
-    dealt = members.join(open_buckets, "bucket").withColumn(
-        "block", F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)")
-    )
-    signed = dealt.join(sketches.select("node", "signature"), "node")
-    sides = signed.select(
-        "bucket",
-        "node",
-        "component",
-        "signature",
-        F.explode(
-            F.expr(
-                "transform(sequence(0, blocks - 1), o -> named_struct("
-                "'i', least(o, block), 'j', greatest(o, block), 'side', IF(block > o, 1, 0)))"
-            )
-        ).alias("at"),
-    ).select("bucket", "node", "component", "signature", "at.*")
+    dealt = block_pairs(members, sizes, "bucket", "node", BLOCK, scratch)
+    sides = dealt.join(sketches.select("node", "signature"), "node")
     found = sides.groupBy("bucket", "i", "j").applyInPandas(_across, PAIR)
     return scratch(found.distinct())
 
@@ -290,7 +276,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .filter("low < high")
         .select("bucket", "low")
     )
-    members = scratch(buckets.join(full, "bucket"))
+    members = scratch(buckets.join(scratch(full), "bucket"))
     stars = members.filter("node > low").select(F.col("low").alias("u"), F.col("node").alias("v"))
     asked = members.select("node").distinct()
     # The sets are made again from the texts of these documents only; of a node's texts the
@@ -316,7 +302,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     )
     # Rows that share an id but not a set.
     several = rows.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("w"))
-    several = rows.join(several.filter("u < w"), "doc_id").select("u", F.col("node").alias("v"))
+    several = rows.join(scratch(several.filter("u < w")), "doc_id").select("u", F.col("node").alias("v"))
     edges = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
     edges = edges.unionByName(more).unionByName(several.distinct())
     return (
