@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duosync.llm.common import Scratch, table
+from duosync.llm.itq import link_vectors
 from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
@@ -26,6 +27,10 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Scratch(spark), tokenizer_file())
 
 
+def op2_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
 def op3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"), Scratch(spark))
 
@@ -44,6 +49,7 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
+    "op2_itq": op2_itq,
     "op3_segments": op3_segments,
     "op4_minhash": op4_minhash,
     "op8_rendezvous": op8_rendezvous,
