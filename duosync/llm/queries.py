@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duosync.llm.common import Scratch, table
+from duosync.llm.fm_index import hits, scan
 from duosync.llm.itq import link_vectors
 from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
@@ -39,6 +40,11 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return hits(scan(docs, items, Scratch(spark)))
+
+
 def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), Scratch(spark), [1.0] * SHARDS)
 
@@ -52,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_itq": op2_itq,
     "op3_segments": op3_segments,
     "op4_minhash": op4_minhash,
+    "op5_fm_index": op5_fm_index,
     "op8_rendezvous": op8_rendezvous,
     "op10_style_tree": op10_style_tree,
 }
