@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from duosync.llm.common import Scratch, table
 from duosync.llm.fm_index import hits, scan
 from duosync.llm.itq import link_vectors
+from duosync.llm.katz import score_texts
 from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
@@ -45,6 +46,10 @@ def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits(scan(docs, items, Scratch(spark)))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), Scratch(spark), [1.0] * SHARDS)
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_segments": op3_segments,
     "op4_minhash": op4_minhash,
     "op5_fm_index": op5_fm_index,
+    "op6_katz": op6_katz,
     "op8_rendezvous": op8_rendezvous,
     "op10_style_tree": op10_style_tree,
 }
