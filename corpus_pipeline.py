@@ -3,20 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from duosync.llm.common import Scratch, table
+from duosync.llm.fm_index import clean
+from duosync.llm.language import learn, with_language
+from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
 from duosync.llm.queries import tokenizer_file
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that can be told; ``lang`` becomes that language."""
+    model = learn(docs.withColumnRenamed("lang", "label"))
+    found = with_language(docs, model, Scratch(spark)).filter("language IS NOT NULL")
+    columns = [
+        F.col("language").alias(c) if c == "lang" else F.col("_doc").getField(c).alias(c)
+        for c in docs.columns
+    ]
+    return found.select(columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Of rows that share an id one stays. Rows without an id stay, but equal ones once.
+    """
+    found = near_duplicates(docs, Scratch(spark))
+    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    nameless = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
+    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' pieces in sequences of 2048 tokens."""
     return pack(docs, Scratch(spark), tokenizer_file())
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("language", language),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
-# SQL cannot express the tokenizer's vocabulary.
+# SQL cannot express the trigram model nor the tokenizer's vocabulary.
 ORACLE_SQL = None
 
 

@@ -26,8 +26,6 @@ from duosync.llm.common import Scratch
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 SAMPLED = 16
-# A task reports so many documents at a time, at most.
-MOST_ROWS = 20_000
 PHRASE_BYTES = 32 << 20
 
 # Word characters: digits, lower-case letters and all beyond ASCII; the others become spaces.
@@ -267,57 +265,90 @@ class Shard:
         self.clear()
 
 
+def _search(phrases: Phrases, shard_words: int, texts: pa.Array) -> list[tuple]:
+    """(words, merged spans, items) of every text of a batch; equal texts are indexed once."""
+    shard, found = Shard(phrases), {}
+    overlap = phrases.longest - 1
+    step = max(shard_words, 2 * overlap + 1)
+    same: dict[bytes, int] = {}
+    rows = []
+    for text in texts:
+        words = words_of(text.as_py() or b"")
+        digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+        new = digest not in same
+        key = same.setdefault(digest, len(same))
+        if new and words:
+            for first in range(0, max(1, len(words) - overlap), step):
+                # Pieces of a long document overlap by a phrase less one word.
+                shard.add(key, first, words[first : first + step + overlap])
+                if shard.size >= shard_words:
+                    shard.search(found)
+        rows.append((len(words), key))
+    shard.search(found)
+    report = {key: (merged(spans), sorted(items)) for key, (spans, items) in found.items()}
+    return [(n, *report.get(key, ([], []))) for n, key in rows]
+
+
 def _scan(phrases, shard_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = Shard(phrases.value)
-        overlap = phrases.value.longest - 1
-        rows: list[tuple] = []  # row, doc_id, words, key
-        same: dict[bytes, int] = {}  # a shard holds equal texts once
-        found: dict[int, tuple[list, set]] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            shard.search(found)
-            if rows:
-                got = [found.get(key, ([], ())) for *_, key in rows]
-                spans = [[{"start": a, "stop": b} for a, b in merged(s)] for s, _ in got]
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([r[1] for r in rows], pa.int64()),
-                        pa.array([r[2] for r in rows], pa.int64()),
-                        pa.array(spans, kind),
-                        pa.array([sorted(i) for _, i in got], pa.list_(pa.string())),
-                    ],
-                    ["_row", "doc_id", "n_words", "spans", "items"],
-                )
-            rows.clear()
-            same.clear()
-            found.clear()
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        for batch in batches:
+            found = _search(phrases.value, shard_words, batch.column(2).cast(pa.binary()))
+            spans = [[{"start": a, "stop": b} for a, b in s] for _, s, _ in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([n for n, *_ in found], pa.int64()),
+                    pa.array(spans, kind),
+                    pa.array([items for *_, items in found], pa.list_(pa.string())),
+                ],
+                ["_row", "doc_id", "n_words", "spans", "items"],
+            )
+
+    return run
 
+
+def _clean(phrases, shard_words: int, column: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).cast(pa.binary())
-            for row, doc_id, text in zip(batch.column(0), batch.column(1), texts, strict=True):
-                words, searched = words_of(text.as_py() or b""), False
-                digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                new = digest not in same
-                key = same.setdefault(digest, len(same))
-                if new and words:
-                    step = max(shard_words, 2 * overlap + 1)
-                    for first in range(0, max(1, len(words) - overlap), step):
-                        # Pieces of a long document overlap by a phrase less one word.
-                        shard.add(key, first, words[first : first + step + overlap])
-                        if shard.size >= shard_words:
-                            shard.search(found)
-                            searched = True
-                rows.append((row.as_py(), doc_id.as_py(), len(words), key))
-                if searched or len(rows) >= MOST_ROWS:
-                    yield from flush()
-        yield from flush()
+            found = _search(phrases.value, shard_words, batch.column(column).cast(pa.binary()))
+            yield batch.filter(pa.array([not spans for _, spans, _ in found], pa.bool_()))
 
     return run
 
 
+def phrase_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Phrases]:
+    """The items' phrases in blocks of about ``block_bytes`` of text; one block at least."""
+    items = benchmark.select(
+        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+    total = items.agg(F.sum(F.length("text") + 8)).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    for block in range(blocks):
+        own = items.filter(F.expr(f"pmod(xxhash64(item, text), {blocks}) = {block}"))
+        yield Phrases([(r.item, bytes(r.text)) for r in own.collect()], window)
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    block_bytes: int = PHRASE_BYTES,
+    shard_words: int = SHARD_WORDS,
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text holds no phrase.
+
+    Nulls, empty texts and repeats as in ``scan``; nothing is shuffled.
+    """
+    column = docs.columns.index("text")
+    for phrases in phrase_blocks(benchmark, window, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(phrases)
+        docs = docs.mapInArrow(_clean(sent, shard_words, column), docs.schema)
+    return docs
+
+
 def scan(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -335,26 +366,19 @@ def scan(
     tables give no rows or no hits. Only ``doc_id`` and ``text``, ``item_id`` and ``text`` are read.
     """
     spark = docs.sparkSession
-    items = benchmark.select(
-        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
-    )
-    total = items.agg(F.sum(F.length("text") + 8)).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
     source = docs.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col("doc_id").cast("long"),
         F.col("text").cast("string"),
     )
-    if blocks > 1:
+    blocks = list(phrase_blocks(benchmark, window, block_bytes))
+    if len(blocks) > 1:
         source = scratch(source)  # so that rows keep their numbers
     passes = []
-    for block in range(blocks):
-        own = items.filter(F.expr(f"pmod(xxhash64(item, text), {blocks}) = {block}"))
-        phrases = Phrases([(r.item, bytes(r.text)) for r in own.collect()], window)
+    for phrases in blocks:
         sent = spark.sparkContext.broadcast(phrases)
         passes.append(source.mapInArrow(_scan(sent, shard_words), "_row long, " + SCAN))
-    if blocks == 1:
+    if len(blocks) == 1:
         return passes[0].drop("_row")
     every = passes[0]
     for more in passes[1:]:

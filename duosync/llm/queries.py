@@ -10,6 +10,7 @@ from duosync.llm.common import Scratch, table
 from duosync.llm.fm_index import hits, scan
 from duosync.llm.itq import link_vectors
 from duosync.llm.katz import score_texts
+from duosync.llm.language import identify_pages, learn
 from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
@@ -50,6 +51,11 @@ def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), Scratch(spark))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = table(spark, sf_dir, "documents").withColumnRenamed("lang", "label")
+    return identify_pages(table(spark, sf_dir, "pages"), learn(labelled), Scratch(spark))
+
+
 def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), Scratch(spark), [1.0] * SHARDS)
 
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op5_fm_index": op5_fm_index,
     "op6_katz": op6_katz,
+    "op7_language": op7_language,
     "op8_rendezvous": op8_rendezvous,
     "op10_style_tree": op10_style_tree,
 }
