@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from duosync.llm.common import Scratch, table
 from duosync.llm.fm_index import hits, scan
 from duosync.llm.itq import link_vectors
 from duosync.llm.katz import score_texts
 from duosync.llm.language import identify_pages, learn
+from duosync.llm.license import recognise
 from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
@@ -60,6 +62,17 @@ def op8_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), Scratch(spark), [1.0] * SHARDS)
 
 
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recognise(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_sentences",
+        F.array_join("sentence_ids", " | ").alias("sentence_ids"),
+        F.array_join("licences", ", ").alias("licences"),
+        (F.size("licences") > 0).alias("licensed"),
+    )
+
+
 def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"), Scratch(spark))
 
@@ -73,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_katz": op6_katz,
     "op7_language": op7_language,
     "op8_rendezvous": op8_rendezvous,
+    "op9_license": op9_license,
     "op10_style_tree": op10_style_tree,
 }
 
