@@ -456,8 +456,7 @@ def modern_deposit_feed(d: Data) -> DataFrame:
 def _accounts(d: Data) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     t, cut = modern_tables(d), Scratch(d.spark)
     parties = modern.resolve_parties(modern_account_feed(d), t, cut)
-    # Each order has its own account, so no account changes its type twice.
-    decided = cut(modern.decide_accounts(parties[0], t, waves=1, cut=cut))
+    decided = cut(modern.decide_accounts(parties[0], t, cut=cut))
     res = modern.apply_modern_accounts(
         parties[0], t, now(), parties=parties, mask=False, decided=decided
     )

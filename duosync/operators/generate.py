@@ -30,6 +30,8 @@ SLOTS = {
     "audit": 14,
 }
 SLOT_BITS = 5
+# Larger event numbers would leave the range of a long; ``run_batch`` rejects such events.
+MOST_SEQ = (1 << (62 - SLOT_BITS)) - 1
 
 
 def assign_ids(*parts: Column | str) -> Column:
@@ -47,6 +49,12 @@ def numeric_id(seq: Column | str, slot: str) -> Column:
     return -(F.shiftleft(c, SLOT_BITS) + F.lit(SLOTS[slot]) + F.lit(1)).cast("long")
 
 
+def born(row_id: Column | str) -> Column:
+    """``seq`` of the event that made a row with such an id; -1 for rows of the database."""
+    c = F.col(row_id) if isinstance(row_id, str) else row_id
+    return F.when(c < 0, F.shiftright(-c - 1, SLOT_BITS)).otherwise(-1)
+
+
 def dense_ids(df: DataFrame, order: Sequence[str], out: str, start: int = 0, buckets: int = 64):
     """Consecutive numbers from ``start + 1`` without one task seeing all rows.
 

@@ -63,14 +63,13 @@ def enrich(
 ) -> DataFrame:
     """Left join of ``dim``, NULLs where it has no row.
 
-    ``order=None`` says that the dimension's key is unique. Otherwise its first row in
-    ``order`` is taken.
+    Of several rows with a key the first in ``order`` is taken, or the smallest without an
+    order: a repeated key never multiplies events.
     """
     keys = list(keys)
     dim = restrict(dim, ev if wanted is None else wanted, keys)
-    if order is not None:
-        dim = pick_one(dim, keys, order, newest=False)
-    return ev.join(dim, keys, "left")
+    order = [F.struct(*_others(dim, keys))] if order is None else order
+    return ev.join(pick_one(dim, keys, order, newest=False), keys, "left")
 
 
 def first_match(

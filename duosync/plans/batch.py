@@ -2,8 +2,9 @@
 
 The modern-side flows run first. What they change on the legacy side becomes, marked MODERN,
 part of the legacy feeds. The legacy-side flows write only the target, so two stages are
-enough. Lookups of the second stage read the tables as they are after the batch's own source
-rows; counts, existence, primary flags and the target follow the events one by one.
+enough. Attempt counts, locks, existence, primary flags and the target follow the events one by
+one, and so do the images and patches of a source row. The second stage's other lookups read the
+tables as they are after the batch's own source rows.
 """
 
 from __future__ import annotations
@@ -14,15 +15,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duosync.operators.generate import MOST_SEQ
 from duosync.operators.lookup import update_from
 from duosync.operators.merge import apply_patches
-from duosync.operators.rejects import union_all
+from duosync.operators.rejects import (
+    LEGACY_TO_MODERN,
+    MODERN_TO_LEGACY,
+    prefixed_id,
+    rejects,
+    union_all,
+)
 from duosync.plans import legacy_side as legacy
 from duosync.plans import modern_side as modern
 from duosync.plans.lineage import Scratch
 from duosync.plans.target import KEYS, SHAPE
 from duosync.sources.schemas import (
     ACCOUNT_RESULT,
+    APPLIED,
     DEPOSIT_RESULT,
     FEEDS,
     TABLES,
@@ -31,6 +40,7 @@ from duosync.sources.schemas import (
 )
 
 Tables = dict[str, DataFrame]
+BAD_EVENT = "EVENT_WITHOUT_ID_OR_NUMBER"
 
 # A batch replaces all rows with a touched key value; the key is also the bucket key.
 REPLACE_KEYS: dict[str, tuple[str, ...]] = {
@@ -45,6 +55,7 @@ REPLACE_KEYS: dict[str, tuple[str, ...]] = {
     "lock": ("id",),
     "deposit_verification": ("bank_account_verification_id",),
     "id_map": ("modern_bank_account_id",),
+    "applied": ("row_id",),
     "target": KEYS,
 }
 
@@ -94,6 +105,52 @@ def latest_images(feed: DataFrame, row_id: str) -> DataFrame:
     )
 
 
+def unsound(feed: DataFrame) -> DataFrame:
+    """Events without an id, or without a number that ids can be made from."""
+    seq = F.col("seq")
+    return feed.filter(
+        F.col("event_id").isNull() | seq.isNull() | (seq < 0) | (seq > MOST_SEQ)
+    )
+
+
+def sound(feed: DataFrame) -> DataFrame:
+    return feed.filter(F.col("event_id").isNotNull() & F.col("seq").between(0, MOST_SEQ))
+
+
+def _row_id(name: str) -> Column:
+    key = ROW_IDS[name]
+    return F.coalesce(F.col(f"after.{key}"), F.col(f"before.{key}"))
+
+
+def unsound_rejects(feeds: Tables, now: Column) -> list[DataFrame]:
+    """Log rows for the events that take no part."""
+    return [
+        rejects(
+            unsound(feed), name, MODERN_TO_LEGACY if name.startswith("modern") else LEGACY_TO_MODERN,
+            prefixed_id(name, _row_id(name)), BAD_EVENT, now,
+        )
+        for name, feed in feeds.items()
+    ]
+
+
+def newer_images(feed: DataFrame, name: str, applied: DataFrame) -> DataFrame:
+    """Events that come after the last one whose image the row has already taken."""
+    done = applied.filter(F.col("feed") == name).select(
+        F.col("row_id").alias("_row_id"), F.col("seq").alias("_done")
+    )
+    out = feed.withColumn("_row_id", _row_id(name)).join(done, ["_row_id"], "left")
+    return out.filter(F.col("_done").isNull() | (F.col("seq") > F.col("_done"))).select(*feed.columns)
+
+
+def taken_images(feed: DataFrame, name: str) -> DataFrame:
+    """(feed, row_id, seq) of the last event of each row."""
+    return (
+        feed.groupBy(_row_id(name).alias("row_id"))
+        .agg(F.max("seq").alias("seq"))
+        .select(F.lit(name).alias("feed"), "row_id", "seq")
+    )
+
+
 def apply_images(table: DataFrame, feed: DataFrame, row_id: str) -> DataFrame:
     """A table after a feed of full images."""
     cols = table.columns
@@ -117,22 +174,26 @@ def run_batch(
     mask: bool = True,
     strict_keys: bool = False,
     fix_exists: bool = False,
-    waves: int | None = None,
 ) -> BatchResult:
     """Apply all feeds to the tables.
 
-    ``feeds`` may leave out feeds without events. Frames that several outputs are cut from
+    ``feeds`` may leave out feeds without events. Events without an id or with a number out of
+    range are rejected. A source row takes an event's image only if that is the newest one it
+    has seen: the table ``applied`` says so, also for deleted rows and for earlier batches. Frames that several outputs are cut from
     are written to the checkpoint folder; ``release`` of the result deletes them.
     """
     spark = tables["target"].sparkSession
     given = set(feeds)
-    feeds = with_empty_feeds(spark, feeds)
+    bad = unsound_rejects(feeds, now)
+    feeds = with_empty_feeds(spark, {n: sound(f) for n, f in feeds.items()})
     keep = Scratch(spark)
 
-    start = tables
-    t = dict(tables)
+    start = with_empty_tables(spark, tables)
+    t = dict(start)
+    fresh = {n: newer_images(feeds[n], n, start["applied"]) for n in given}
+    taken = [taken_images(fresh[n], n) for n in sorted(given)]
     for name in given & {"modern_account", "modern_deposit", "verification", "attempt", "transaction"}:
-        t[name] = apply_images(start[name], feeds[name], ROW_IDS[name])
+        t[name] = apply_images(start[name], fresh[name], ROW_IDS[name])
 
     # Stage 1: modern side. Accounts leave users and bank accounts that deposits look up;
     # deposits leave verifications that accounts look up.
@@ -151,9 +212,14 @@ def run_batch(
             feeds["modern_deposit"], t, now, mask=mask, enriched=enriched
         )
         made["attempt"] = deposits["attempt_events"]
-        t.update(modern.deposit_tables(t, deposits))
-
-    account_feed = feeds["customer_account"]
+        transactions = [start["applied"], *taken]
+        transactions = union_all(transactions).filter("feed = 'transaction'")
+        t.update(modern.deposit_tables(t, deposits, transactions.select("row_id", "seq")))
+        # What a posting sets is newer than any image before it.
+        posted = t["transaction"].join(deposits["posting"], ["bank_account_verification_id"])
+        taken.append(posted.select(F.lit("transaction").alias("feed"), F.col("id").alias("row_id"), "seq"))
+
+    account_feed = fresh.get("customer_account", feeds["customer_account"])
     accounts = _empty(spark, ACCOUNT_RESULT)
     customer_accounts = apply_images(
         start["customer_account"], account_feed, ROW_IDS["customer_account"]
@@ -164,17 +230,22 @@ def run_batch(
             modern.decide_accounts(
                 parties[0], t | {"customer_account": start["customer_account"]},
                 account_feed=account_feed if "customer_account" in given else None,
-                waves=waves, fix_exists=fix_exists, cut=keep,
+                fix_exists=fix_exists, cut=keep,
             )
         )
         accounts = modern.apply_modern_accounts(
             parties[0], t, now, parties=parties, mask=mask, decided=decided
         )
         made["verification"] = modern.verification_events(t, accounts["verification_patch"])
+        verified = accounts["verification_patch"]
+        key = "bank_account_verification_id"
+        seen = union_all([start["applied"], *taken]).filter("feed = 'verification'")
+        seen = seen.groupBy(F.col("row_id").alias(key)).agg(F.max("seq").alias("_taken"))
+        newest = verified.join(seen, [key], "left").filter("_taken IS NULL OR seq > _taken")
         t["verification"] = update_from(
-            t["verification"], accounts["verification_patch"], ["bank_account_verification_id"],
-            ["verified_date", "result"],
+            t["verification"], newest, [key], ["verified_date", "result"]
         ).unionByName(accounts["verification"])
+        taken.append(verified.select(F.lit("verification").alias("feed"), F.col(key).alias("row_id"), "seq"))
         final = keep(modern.account_snapshot(start["customer_account"], accounts, account_feed))
         made["customer_account"] = modern.derived_account_events(customer_accounts, final, accounts)
         t["customer_account"] = final.drop("born_seq")
@@ -195,7 +266,8 @@ def run_batch(
         enriched = keep(legacy.enrich_customer_accounts(ev, t, keep))
         results.append(legacy.apply_customer_accounts(ev, t, now, mask=mask, enriched=enriched))
     if (ev := legacy_feed("verification")) is not None:
-        enriched = keep(legacy.enrich_verifications(ev, t, keep))
+        tries = legacy_feed("attempt")
+        enriched = keep(legacy.enrich_verifications(ev, t, keep, start["attempt"], tries))
         results.append(legacy.apply_verifications(ev, t, now, mask=mask, enriched=enriched))
     if (ev := legacy_feed("attempt")) is not None:
         enriched = keep(legacy.enrich_attempts(ev, t, start["attempt"], keep))
@@ -208,7 +280,15 @@ def run_batch(
         patches = keep(union_all([r["patches"] for r in results]))
     t["target"] = apply_patches(start["target"], patches, SHAPE, strict_keys=strict_keys)
 
-    logs = [accounts["log"], deposits["log"], *[r["log"] for r in results]]
+    changed = keep(union_all([_none_applied(spark), *taken]).filter("row_id IS NOT NULL"))
+    # One aggregate over the rows of this batch and what was noted of them before.
+    row = ["feed", "row_id"]
+    rows = changed.select(*row).distinct()
+    again = start["applied"].join(rows, row, "left_semi")
+    newest = again.unionByName(changed).groupBy(*row).agg(F.max("seq").alias("seq"))
+    t["applied"] = start["applied"].join(rows, row, "left_anti").unionByName(newest)
+
+    logs = [accounts["log"], deposits["log"], *[r["log"] for r in results], *bad]
     if strict_keys:
         logs.append(legacy.keyless_rejects(patches, now))
     outputs = {
@@ -220,9 +300,14 @@ def run_batch(
     }
     events = None if parties is None else parties[0]
     touched = _touched(feeds, given, accounts, deposits, events, patches)
+    touched["applied"] = changed.select("row_id").distinct()
     return BatchResult(outputs, t, touched, patches, keep.release)
 
 
+def _none_applied(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], schema(APPLIED))
+
+
 def _empty(spark: SparkSession, ddls: dict[str, str]) -> Tables:
     return {n: spark.createDataFrame([], schema(ddl)) for n, ddl in ddls.items()}
 

@@ -28,6 +28,20 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _on_store(spark, path, lambda store, at: store.exists(at))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, wherever Spark can write. Nothing happens if it isn't there."""
+    _on_store(spark, path, lambda store, at: store.delete(at, True))
+
+
+def _on_store(spark: SparkSession, path: str, act):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return act(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)
+
+
 class Scratch:
     """Written frames of one batch; ``release`` deletes them."""
 
@@ -44,10 +58,7 @@ class Scratch:
 
     def release(self) -> None:
         if self.count:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            path = jvm.org.apache.hadoop.fs.Path(self.folder)
-            path.getFileSystem(conf).delete(path, True)
+            delete_path(self.spark, self.folder)
 
 
 def no_cut(df: DataFrame) -> DataFrame:

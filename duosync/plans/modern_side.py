@@ -460,7 +460,7 @@ def decide(df: DataFrame, *, fix_exists: bool = False) -> DataFrame:
 def _retype_entries(decided: DataFrame) -> DataFrame:
     """What a wave leaves behind for the next: openings, removals and type changes."""
     nothing = F.lit(None)
-    applied = decided.filter(~F.col("ambiguous"))
+    applied = decided.filter(~F.col("ambiguous") & ~F.col("unverified"))
     base = [*ACCOUNT_KEY]
     opened = applied.filter("opens AND new_type IS NOT NULL").select(
         *base, F.col("new_type").alias("account_type_id"), "seq",
@@ -485,7 +485,6 @@ def decide_in_waves(
     ev: DataFrame,
     entries: DataFrame,
     *,
-    waves: int | None = None,
     fix_exists: bool = False,
     width: int | None = None,
     cut: Cut = no_cut,
@@ -494,12 +493,11 @@ def decide_in_waves(
 
     A type change moves an existing row, so events after it on the same account wait for the
     next wave. The number of waves is one more than the most type changes on one account.
+    ``ev`` has the columns of ``_gates`` and ``unverified``.
     """
-    ev = ev.withColumns(_gates())
     changes = is_true(has_changed(["account_type"])) & (F.col("op") == "U")
     ev = cut(running(ev, ACCOUNT_KEY, "seq", {"_wave": ("count", changes)}, width=width))
-    if waves is None:
-        waves = 1 + (ev.agg(F.max("_wave").alias("w")).first().w or 0)
+    waves = 1 + (ev.agg(F.max("_wave").alias("w")).first().w or 0)
     decided = None
     for wave in range(waves):
         part = ev.filter(F.col("_wave") == wave).drop("_wave")
@@ -558,7 +556,6 @@ def apply_modern_accounts(
     *,
     account_feed: DataFrame | None = None,
     parties: tuple[DataFrame, DataFrame, DataFrame] | None = None,
-    waves: int | None = None,
     mask: bool = True,
     fix_exists: bool = False,
     cut: Cut = no_cut,
@@ -573,7 +570,7 @@ def apply_modern_accounts(
     if decided is None:
         decided = cut(
             decide_accounts(
-                ev, tables, account_feed=account_feed, waves=waves, fix_exists=fix_exists, cut=cut
+                ev, tables, account_feed=account_feed, fix_exists=fix_exists, cut=cut
             )
         )
 
@@ -798,7 +795,6 @@ def decide_accounts(
     tables: Tables,
     *,
     account_feed: DataFrame | None = None,
-    waves: int | None = None,
     fix_exists: bool = False,
     cut: Cut = no_cut,
 ) -> DataFrame:
@@ -813,10 +809,18 @@ def decide_accounts(
             "account_number": _new("account_number"),
         }
     )
+    # Events that are rejected for want of a verification must leave no trace in what later
+    # events find, so this is known before anything else.
+    ev = cut(ev.withColumns(_gates()))
+    hit = verified_deposits(ev.filter("is_verify").select("event_id", "after"), tables).select(
+        "event_id", "ver_id", "ver_case", "ver_date"
+    )
+    ev = ev.join(hit, ["event_id"], "left")
+    ev = ev.withColumn("unverified", F.col("is_verify") & F.col("ver_id").isNull())
     accounts = restrict(tables["customer_account"], ev, ACCOUNT_KEY)
     entries = account_entries(accounts, account_feed)
     entries = cut(restrict(entries, ev, ACCOUNT_KEY))
-    out = decide_in_waves(ev, entries, waves=waves, fix_exists=fix_exists, cut=cut)
+    out = decide_in_waves(ev, entries, fix_exists=fix_exists, cut=cut)
 
     # The flag a promotion finds: what the customer's previous promotion of this batch left,
     # else what is stored.
@@ -825,7 +829,8 @@ def decide_accounts(
     candidate = F.when(opens_primary, numeric_id("seq", "account")).when(
         could & F.col("found_primary").isNotNull(), F.col("new_id")
     )
-    out = out.withColumn("promoted", candidate)
+    settles = ~F.col("ambiguous") & ~F.col("unverified")
+    out = out.withColumn("promoted", F.when(settles, candidate))
     out = running(out, ["customer_id"], "seq", {"_primary": ("last", F.col("promoted"))})
     flag = F.when(
         F.col("_primary").isNotNull(), (F.col("_primary") == F.col("found_id")).cast("int")
@@ -842,14 +847,7 @@ def decide_accounts(
     directory = tables["bank_directory"].select(
         F.col("rt_micr").alias("routing_number"), F.col("rt_instit").alias("bank_name")
     )
-    out = first_match(out, directory, ["routing_number"], [F.col("bank_name")], settled)
-
-    # Verification lookup, only for the events that need one.
-    hit = verified_deposits(settled.filter("is_verify").select("event_id", "after"), tables).select(
-        "event_id", "ver_id", "ver_case", "ver_date"
-    )
-    out = out.join(hit, ["event_id"], "left")
-    return out.withColumn("unverified", F.col("is_verify") & F.col("ver_id").isNull())
+    return first_match(out, directory, ["routing_number"], [F.col("bank_name")], settled)
 
 
 def account_snapshot(
@@ -1222,19 +1220,38 @@ def apply_modern_deposits(
     }
 
 
-def deposit_tables(tables: Tables, result: dict[str, DataFrame]) -> Tables:
-    """Legacy tables after the deposit flow: new rows, then postings and cancellations."""
+def deposit_tables(
+    tables: Tables, result: dict[str, DataFrame], taken: DataFrame | None = None
+) -> Tables:
+    """Legacy tables after the deposit flow: new rows, then postings and cancellations.
+
+    ``taken`` has (row_id, seq) of transactions whose image comes from a feed event: a posting
+    before that event is overwritten by the image, as it would be one by one.
+    """
     key = ["bank_account_verification_id"]
     txn = tables["transaction"].unionByName(result["transaction"])
     posting = result["posting"].select(
-        *key, F.col("ach_posted_date").alias("post_date"), F.lit("Processed").alias("status")
-    )
+        *key,
+        F.struct(
+            F.col("ach_posted_date").alias("post_date"), F.lit("Processed").alias("status"), "seq"
+        ).alias("_new"),
+    )
+    posted = txn.join(posting, key, "left")
+    if taken is None:
+        posted = posted.withColumn("_taken", F.lit(-1))
+    else:
+        last = taken.groupBy(F.col("row_id").alias("id")).agg(F.max("seq").alias("_taken"))
+        posted = posted.join(last, ["id"], "left").fillna(-1, ["_taken"])
+    hit = is_true(F.col("_new.seq") > F.col("_taken"))
+    posted = posted.withColumns(
+        {c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in ("post_date", "status")}
+    ).select(*txn.columns)
     checks = tables["deposit_verification"].unionByName(result["deposit_verification"])
     checks = update_from(checks, result["posting"], key, ["ach_posted_date"])
     checks = update_from(checks, result["cancelling"], key, ["canceled_date"])
     return {
         "verification": tables["verification"].unionByName(result["verification"]),
-        "transaction": update_from(txn, posting, key, ["post_date", "status"]),
+        "transaction": posted,
         "deposit_verification": checks,
         "lock": tables["lock"].unionByName(result["lock"]),
         "attempt": tables["attempt"].unionByName(result["attempt"]),

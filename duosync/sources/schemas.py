@@ -96,6 +96,8 @@ ID_MAP = """
     modern_bank_account_id long, legacy_bank_account_id long, created_by string,
     created_timestamp timestamp, modern_micro_deposit_id long, legacy_micro_deposit_id long
 """
+# The last event whose image a source row took, also of rows that are deleted since.
+APPLIED = "feed string, row_id long, seq long"
 LOG = """
     event_id string, kind string, trigger_name string, table_name string, table_id string,
     source_system string, destination_system string, status string, failure_reason string,
@@ -131,6 +133,7 @@ TABLES = {
     "lock": LOCK,
     "deposit_verification": DEPOSIT_VERIFICATION,
     "id_map": ID_MAP,
+    "applied": APPLIED,
     "target": TARGET,
 }
 
