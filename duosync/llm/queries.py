@@ -77,6 +77,19 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"), Scratch(spark))
 
 
+# Components by repeated steps along links ``link(u, v)``, both ways, of ``node(id)``.
+_REACH = """
+reach(id, root) AS (
+  SELECT id, id FROM node
+  UNION
+  SELECT reach.id, link.v FROM reach JOIN link ON reach.root = link.u),
+label AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)
+"""
+
+# Text after lower-casing A-Z only.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_itq": op2_itq,
@@ -91,6 +104,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_itq": f"""
+WITH RECURSIVE node AS (
+  SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+link AS (
+  SELECT a.id AS u, b.id AS v FROM node a JOIN node b ON a.id <> b.id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+{_REACH}
+SELECT e.vec_id, count(link.v) AS n_links, coalesce(any_value(label.component_id), e.vec_id)
+  AS component_id, e.vec_id = coalesce(any_value(label.component_id), e.vec_id) AS kept
+FROM embeddings e LEFT JOIN label ON label.id = e.vec_id LEFT JOIN link ON link.u = e.vec_id
+GROUP BY e.vec_id
+""",
     "op3_segments": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
@@ -103,5 +129,63 @@ SELECT page_id, payload_bytes, payload_digest,
     AS record_type,
   CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
 FROM m
+""",
+    "op4_minhash": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x09-\\x0D ]+') AS w
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i
+        FROM w WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT u, v FROM shared JOIN size a ON a.doc_id = u JOIN size b ON b.doc_id = v
+  WHERE 100 * shared.n >= 75 * (a.n + b.n - shared.n)),
+node AS (SELECT doc_id AS id FROM documents),
+{_REACH}
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, label.component_id,
+  d.doc_id = label.component_id AS kept
+FROM documents d JOIN label ON label.id = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id
+""",
+    "op5_fm_index": f"""
+WITH cut AS (SELECT '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+' AS word),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, word) AS w FROM documents, cut),
+b AS (
+  SELECT item_id, w, least(10, len(w)) AS n
+  FROM (SELECT item_id, regexp_extract_all({_LOWER}, word) AS w FROM benchmark, cut)
+  WHERE len(w) > 0),
+phrase AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS p
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+place AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS p
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM phrase) WHERE len(w) >= n)),
+found AS (SELECT doc_id, place.n, i, item_id FROM place JOIN phrase USING (n, p)),
+hit AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id),
+item AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    array_to_string(list_sort(list_distinct(list(item_id::VARCHAR))), ',') AS names
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN item ON item.doc_id = d.doc_id
+""",
+    # The given pages' markup is regular enough for patterns.
+    "op10_style_tree": """
+WITH a AS (
+  SELECT page_id, url,
+    regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS body FROM pages),
+t AS (
+  SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(body, '</?(p|h1|br)[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text) AS n_chars FROM t
 """,
 }
