@@ -382,6 +382,10 @@ def modern_tables(d: Data) -> dict[str, DataFrame]:
         ),
         "verification": d.sql(STARTED),
         "transaction": d.sql(S.TXN),
+        "deposit_verification": d.sql(STARTED).select(
+            F.lit("640").alias("verification_agent"), F.lit("Web").alias("verification_channel"),
+            "bank_account_verification_id",
+        ),
         "lock": d.orders.filter(F.col("o_orderstatus") == "F").select(
             F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("open_date"),
             F.col("o_orderkey").alias("bank_account_verification_id"),
@@ -492,6 +496,39 @@ def flow_account_users(d: Data) -> DataFrame:
     return _accounts(d)[0]["user"].select("id", "individual_identifier", "individual_name")
 
 
+CASE_COLUMNS = [
+    "uc_id", "status_id", "type_id", "ref_num", "open_date", "open_agent_id", "status_date",
+    "status_agent_id", "credit_account_id", "card_id",
+]
+
+
+def flow_account_cases(d: Data) -> DataFrame:
+    return plain(_accounts(d)[0]["case"].select(CASE_COLUMNS))
+
+
+def flow_account_history(d: Data) -> DataFrame:
+    return _accounts(d)[0]["history"]
+
+
+def flow_account_id_map(d: Data) -> DataFrame:
+    return _accounts(d)[0]["id_map"].select(
+        "modern_bank_account_id", "legacy_bank_account_id", "created_by"
+    )
+
+
+def flow_account_banks(d: Data) -> DataFrame:
+    return _accounts(d)[0]["bank_account"].select("id", "aba_number", "account_number", "account_type")
+
+
+def flow_account_verified(d: Data) -> DataFrame:
+    """Stored verifications that an activated account completes."""
+    return plain(
+        _accounts(d)[0]["verification_patch"].select(
+            "bank_account_verification_id", "verified_date", "result"
+        )
+    )
+
+
 def _deposits(d: Data) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     t, cut = modern_tables(d), Scratch(d.spark)
     ev = modern_deposit_feed(d)
@@ -519,6 +556,41 @@ def flow_deposit_attempts(d: Data) -> DataFrame:
     return plain(_deposits(d)[0]["attempt"])
 
 
+def flow_deposit_cases(d: Data) -> DataFrame:
+    return plain(_deposits(d)[0]["case"].select(CASE_COLUMNS))
+
+
+def flow_deposit_verifications(d: Data) -> DataFrame:
+    """Verifications of the deposits that start."""
+    return plain(
+        _deposits(d)[0]["verification"].select(
+            "bank_account_verification_id", "verification_type", "created_date", "work_case_id",
+            "agent", "channel", "is_migrated", "credit_account_id",
+        )
+    )
+
+
+def flow_deposit_checks(d: Data) -> DataFrame:
+    """Micro-deposit verifications with their posting and cancellation."""
+    res, t = _deposits(d)
+    return plain(
+        modern.deposit_tables(t, res)["deposit_verification"].select(
+            "bank_account_verification_id", "ach_posted_date", "canceled_date",
+            "verification_agent", "verification_channel",
+        )
+    )
+
+
+def flow_deposit_locks(d: Data) -> DataFrame:
+    return plain(_deposits(d)[0]["lock"])
+
+
+def flow_deposit_id_map(d: Data) -> DataFrame:
+    return _deposits(d)[0]["id_map_patch"].select(
+        "modern_bank_account_id", "modern_micro_deposit_id", "legacy_micro_deposit_id"
+    )
+
+
 def flow_deposit_log(d: Data) -> DataFrame:
     return _log(_deposits(d)[0]["log"])
 
@@ -537,7 +609,17 @@ FLOWS = {
     "flow_account_outbox": flow_account_outbox,
     "flow_account_log": flow_account_log,
     "flow_account_users": flow_account_users,
+    "flow_account_cases": flow_account_cases,
+    "flow_account_history": flow_account_history,
+    "flow_account_id_map": flow_account_id_map,
+    "flow_account_banks": flow_account_banks,
+    "flow_account_verified": flow_account_verified,
     "flow_deposit": flow_deposit,
+    "flow_deposit_cases": flow_deposit_cases,
+    "flow_deposit_verifications": flow_deposit_verifications,
+    "flow_deposit_checks": flow_deposit_checks,
+    "flow_deposit_locks": flow_deposit_locks,
+    "flow_deposit_id_map": flow_deposit_id_map,
     "flow_deposit_audit": flow_deposit_audit,
     "flow_deposit_attempts": flow_deposit_attempts,
     "flow_deposit_log": flow_deposit_log,

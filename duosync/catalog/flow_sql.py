@@ -109,7 +109,9 @@ _SYSTEM = f"TIMESTAMP '{NOW}'"
 
 
 def base(after: bool = False) -> str:
-    """Common tables. ``after`` shows transactions and accounts with their feeds applied."""
+    """Common tables. ``after`` shows transactions and accounts with their feeds applied, and
+    counts the attempts that come before each verification event."""
+    tried = "OR event_type = 'error' AND e.event_id * 4 + 2 < l.ver_id * 4 + 1" if after else ""
     piv = PIVOT.replace("max(status)", "max(next_status)") if after else PIVOT
     if after:
         owned = f"""SELECT customer_id, routing_number, account_number, is_primary
@@ -124,8 +126,9 @@ acc AS ({in_sql(Q.DATED)}),
 piv AS ({piv}),
 lockrow AS (SELECT id AS lock_id, bank_account_verification_id AS ver_id
   FROM ({in_sql(Q.LOCK)}) l),
-clicks AS (SELECT user_id, count(*) AS n FROM events
-  WHERE event_type = 'click' {"OR event_type = 'error'" if after else ""} GROUP BY user_id),
+clicks AS (SELECT l.lock_id, l.ver_id, count(*) AS n FROM lockrow l
+  JOIN events e ON e.user_id = l.lock_id WHERE event_type = 'click' {tried}
+  GROUP BY l.lock_id, l.ver_id),
 stored_clicks AS (SELECT user_id, count(*) AS n FROM events
   WHERE event_type = 'click' GROUP BY user_id),
 owned AS (SELECT customer_id, count(*) AS n_accounts,
@@ -182,7 +185,7 @@ def customer_patches() -> str:
         "verification_type": f"CASE WHEN {gone} THEN vtype ELSE code END",
         "verified_date": f"CASE WHEN {gone} OR code IS NOT NULL THEN verified_date END",
         **_PIV,
-        "locked": "CASE WHEN lock_id IS NOT NULL THEN 'Y' ELSE 'N' END",
+        "locked": "CASE WHEN l.lock_id IS NOT NULL THEN 'Y' ELSE 'N' END",
         "verification_attempts": "0",
         "change_timestamp": _CHANGED,
         "created_by": "agent",
@@ -283,7 +286,7 @@ def verification_patches() -> str:
         ),
         **_PIV,
         "locked": pick(
-            "CASE WHEN lock_id IS NOT NULL THEN 'Y' ELSE 'N' END",
+            "CASE WHEN l.lock_id IS NOT NULL THEN 'Y' ELSE 'N' END",
             "CASE WHEN c.n = 3 THEN 'Y' ELSE 'N' END",
         ),
         "verification_attempts": pick("c.n", "coalesce(c.n, 0)"),
@@ -294,7 +297,7 @@ def verification_patches() -> str:
         "updated_timestamp": pick(_SYSTEM, _LOCAL),
         "is_primary": "account_primary",
     }
-    return f"""SELECT {_select(values)} FROM {_CHECKS} LEFT JOIN clicks c ON c.user_id = l.lock_id
+    return f"""SELECT {_select(values)} FROM {_CHECKS} LEFT JOIN clicks c ON c.lock_id = l.lock_id AND c.ver_id = l.ver_id
       WHERE {_FINE} AND ({_REFRESH} OR (v.is_migrated = 2 AND {key} % 5 <> 0))"""
 
 
@@ -499,6 +502,48 @@ SELECT -(min(o_orderkey) * 32 + 1) AS id, o_custkey AS individual_identifier,
 FROM orders JOIN customer ON c_custkey = o_custkey WHERE NOT c_acctbal >= 3000 GROUP BY o_custkey
 """
 
+_CHANNEL = "CASE WHEN n % 3 = 0 THEN 'Web' ELSE 'CASH' END"
+FLOW_ACCOUNT_CASES = f"""
+WITH {EVENTS}
+SELECT {_new_id(2)} AS uc_id, 1 AS status_id,
+  CASE WHEN result = 'ACTIVE' THEN 415471 ELSE 415472 END AS type_id,
+  'modern_account:' || n AS ref_num, o_orderdate AS open_date, 'C1' AS open_agent_id,
+  o_orderdate + INTERVAL 1 DAY AS status_date, 'U1' AS status_agent_id, credit_account_id,
+  customer_id AS card_id
+FROM act WHERE steps_up
+UNION ALL
+SELECT {_new_id(4)}, 1, 325470, 'modern_account:' || n,
+  CASE WHEN op = 'I' THEN o_orderdate ELSE o_orderdate + INTERVAL 1 DAY END,
+  CASE WHEN op = 'I' THEN 'C1' ELSE 'U1' END, o_orderdate + INTERVAL 1 DAY, 'U1',
+  credit_account_id, customer_id
+FROM act WHERE opens OR retypes OR (removes AND is_stored)
+"""
+FLOW_ACCOUNT_HISTORY = f"""
+WITH {EVENTS}, h AS (
+  SELECT *, 1 AS change_code FROM act WHERE opens
+  UNION ALL SELECT *, 3 FROM act WHERE promotes AND op = 'U'
+  UNION ALL SELECT *, 3 FROM act WHERE retypes
+  UNION ALL SELECT *, 2 FROM act WHERE removes AND is_stored)
+SELECT 'modern_account:' || n AS event_id, customer_id, change_code, account_number,
+  routing_number, type_id AS account_type_id, {_CHANNEL} AS channel FROM h
+"""
+FLOW_ACCOUNT_ID_MAP = f"""
+WITH {EVENTS}
+SELECT n AS modern_bank_account_id, {_new_id(1)} AS legacy_bank_account_id,
+  'TRIGGER' AS created_by FROM act WHERE registers
+"""
+FLOW_ACCOUNT_BANKS = f"""
+WITH {EVENTS}
+SELECT {_new_id(1)} AS id, routing_number AS aba_number, account_number,
+  bank_type AS account_type FROM act WHERE op = 'I'
+"""
+FLOW_ACCOUNT_VERIFIED = f"""
+WITH {EVENTS}
+SELECT ver_id AS bank_account_verification_id, o_orderdate + INTERVAL 1 DAY AS verified_date,
+  'Pass' AS result FROM act WHERE is_verify AND ver_id IS NOT NULL AND ver_date IS NULL
+"""
+
+_DEPOSIT_CHANNEL = "CASE WHEN n % 3 = 0 THEN 'Web' ELSE 'AGENT' END"
 DEPOSITS = f"""
 dep AS (SELECT o.*, s.bank_account_verification_id IS NOT NULL AS found, work_case_id,
     o_orderstatus = 'O' AND priority <= '3' AS starts, o_orderstatus <> 'O' AS updates,
@@ -540,6 +585,41 @@ SELECT {_new_id(10)} AS id,
   o_orderdate + INTERVAL 2 DAY AS created_date, '640' AS agent, 'Web' AS channel
 FROM dep WHERE updates AND found AND priority IN ('3', '4')
 """
+FLOW_DEPOSIT_CASES = f"""
+WITH {DEPOSITS}
+SELECT {_new_id(2)} AS uc_id, 26 AS status_id, 415470 AS type_id,
+  'modern_deposit:' || n AS ref_num, o_orderdate AS open_date, '1' AS open_agent_id,
+  o_orderdate + INTERVAL 2 DAY AS status_date, '1' AS status_agent_id, credit_account_id,
+  customer_id AS card_id
+FROM dep WHERE starts
+"""
+FLOW_DEPOSIT_VERIFICATIONS = f"""
+WITH {DEPOSITS}
+SELECT {_new_id(7)} AS bank_account_verification_id, 'MicroDeposit' AS verification_type,
+  o_orderdate AS created_date, {_new_id(2)} AS work_case_id, '640' AS agent,
+  {_DEPOSIT_CHANNEL} AS channel, 2 AS is_migrated, credit_account_id FROM dep WHERE starts
+"""
+FLOW_DEPOSIT_CHECKS = f"""
+WITH {DEPOSITS}
+SELECT n AS bank_account_verification_id,
+  CASE WHEN updates AND priority = '1' THEN o_orderdate + INTERVAL 2 DAY END AS ach_posted_date,
+  CASE WHEN updates AND priority = '2' THEN o_orderdate + INTERVAL 2 DAY END AS canceled_date,
+  '640' AS verification_agent, 'Web' AS verification_channel
+FROM dep WHERE found
+UNION ALL
+SELECT {_new_id(7)}, NULL, NULL, '1', {_DEPOSIT_CHANNEL} FROM dep WHERE starts
+"""
+FLOW_DEPOSIT_LOCKS = f"""
+WITH {DEPOSITS}
+SELECT {_new_id(9)} AS id, o_orderdate + INTERVAL 2 DAY AS open_date,
+  n AS bank_account_verification_id
+FROM dep WHERE updates AND found AND priority IN ('3', '4') AND o_orderstatus <> 'F'
+"""
+FLOW_DEPOSIT_ID_MAP = f"""
+WITH {DEPOSITS}
+SELECT n AS modern_bank_account_id, n + 7000000 AS modern_micro_deposit_id,
+  {_new_id(7)} AS legacy_micro_deposit_id FROM dep WHERE starts
+"""
 FLOW_DEPOSIT_LOG = f"""
 WITH {DEPOSITS}
 SELECT 'modern_deposit:' || n AS event_id, 'reject' AS kind, 'STAGE_SEQUENCE_ID:' || n AS table_id,
@@ -564,7 +644,17 @@ FLOW_SQL = {
     "flow_account_outbox": FLOW_ACCOUNT_OUTBOX,
     "flow_account_log": FLOW_ACCOUNT_LOG,
     "flow_account_users": FLOW_ACCOUNT_USERS,
+    "flow_account_cases": FLOW_ACCOUNT_CASES,
+    "flow_account_history": FLOW_ACCOUNT_HISTORY,
+    "flow_account_id_map": FLOW_ACCOUNT_ID_MAP,
+    "flow_account_banks": FLOW_ACCOUNT_BANKS,
+    "flow_account_verified": FLOW_ACCOUNT_VERIFIED,
     "flow_deposit": FLOW_DEPOSIT,
+    "flow_deposit_cases": FLOW_DEPOSIT_CASES,
+    "flow_deposit_verifications": FLOW_DEPOSIT_VERIFICATIONS,
+    "flow_deposit_checks": FLOW_DEPOSIT_CHECKS,
+    "flow_deposit_locks": FLOW_DEPOSIT_LOCKS,
+    "flow_deposit_id_map": FLOW_DEPOSIT_ID_MAP,
     "flow_deposit_audit": FLOW_DEPOSIT_AUDIT,
     "flow_deposit_attempts": FLOW_DEPOSIT_ATTEMPTS,
     "flow_deposit_log": FLOW_DEPOSIT_LOG,
