@@ -1,7 +1,8 @@
 """Projections that let the test tables stand in for the domain tables.
 
 Each text is plain SQL that Spark and DuckDB both run; ``{orders}`` and the like name the
-test tables. All read whole tables.
+test tables. They read whole tables; where a query needs a target and a source, or stored rows and
+events, a condition on values deals the rows into those roles (named at each text).
 """
 
 from __future__ import annotations

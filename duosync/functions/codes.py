@@ -130,3 +130,23 @@ TRACE_ROUTE_CHANGE = "Account number or routing number change in update flow"
 TRACE_DELETE_CREATED_BY = "Before exception"
 TRACE_DELETE_PREFIX = "v_customer_bank_account_id:"
 REJECT_NO_VERIFICATION = "Bank Account Verification Id is Null"
+
+# The texts before each value of a detailed trace.
+CUSTOMER_ACCOUNT_TRACE = (
+    " | ABA: ",
+    " | Account: ",
+    " | Credit Card No: ",
+    " | is_primary_new: ",
+    " | is_primary_old: ",
+    " | account type new: ",
+    " | account type old: ",
+    "Flag:",
+)
+VERIFICATION_TRACE = (
+    " | ABA: ",
+    " | Account: ",
+    " | Credit Card No: ",
+    "account type ",
+    "Staging ",
+)
+ATTEMPT_TRACE = ("Routing number",)

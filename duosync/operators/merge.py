@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duosync.operators.lookup import all_of, any_of
+from duosync.operators.lookup import all_of
 from duosync.operators.ordered import running
 
 UNSET_SEQ = -1
@@ -275,18 +275,3 @@ def valid_promotions(
         line, [customer, account], "seq", {"_alive": ("last", F.col("alive"))}, width=width
     )
     return seen.filter(F.col("alive").isNull() & F.col("_alive")).select(customer, account, "seq")
-
-
-def too_many_primaries(
-    accounts: DataFrame, *, customer: str = "customer_id", flag: str = "is_primary"
-) -> DataFrame:
-    """Customers that already have several primary accounts; they belong in the reject log."""
-    return (
-        accounts.groupBy(customer)
-        .agg(F.count(F.when(F.col(flag) == 1, 1)).alias("primaries"))
-        .filter(F.col("primaries") > 1)
-    )
-
-
-def differs(cols: Sequence[str], left: str, right: str) -> Column:
-    return any_of([~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])

@@ -63,25 +63,12 @@ def flag_branches(ev: DataFrame, branches: dict[str, Column]) -> DataFrame:
     return ev.withColumns({name: is_true(cond) for name, cond in branches.items()})
 
 
-def route(ev: DataFrame, branches: dict[str, Column]) -> dict[str, DataFrame]:
-    """One filtered DataFrame per branch."""
-    flagged = flag_branches(ev, {f"_b_{n}": c for n, c in branches.items()})
-    drop = [f"_b_{n}" for n in branches]
-    return {n: flagged.filter(F.col(f"_b_{n}")).drop(*drop) for n in branches}
-
-
 def not_migrated(is_migrated: Column | str) -> Column:
     """True for rows that belong to the legacy side; NULL is not among them."""
     c = F.col(is_migrated) if isinstance(is_migrated, str) else is_migrated
     return is_true(c != codes.MIGRATED)
 
 
-def split_migrated(df: DataFrame, is_migrated: str = "is_migrated") -> tuple[DataFrame, DataFrame]:
-    """(legacy side, migrated side); a NULL gate goes to the migrated side."""
-    legacy = not_migrated(is_migrated)
-    return df.filter(legacy), df.filter(~legacy)
-
-
 def not_echo(origin: Column | str = "origin") -> Column:
     """True unless the change came from the modern side; an unset origin is legacy."""
     c = F.col(origin) if isinstance(origin, str) else origin
@@ -93,7 +80,12 @@ def drop_echo(ev: DataFrame) -> DataFrame:
     return ev.filter(not_echo())
 
 
+def not_sentinel(channel: Column | str = "channel") -> Column:
+    """True for a channel that is known and not the cash channel."""
+    c = F.col(channel) if isinstance(channel, str) else channel
+    return is_true(c != CASH)
+
+
 def drop_sentinel(ev: DataFrame, channel: Column | str = "channel") -> DataFrame:
     """Drop attempts of the cash channel, and those without one."""
-    c = F.col(channel) if isinstance(channel, str) else channel
-    return ev.filter(c != CASH)
+    return ev.filter(not_sentinel(channel))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from duosync.functions import columns as C
-from duosync.operators import generate, route
+from duosync.operators import generate, lookup, route
 
 
 def values(spark, col, data, schema="v string"):
@@ -70,11 +70,19 @@ def test_numeric_ids_differ_and_sort_lines(spark):
     assert got[0].credit_1 < got[0].credit_2 < got[0].debit
 
 
-def test_split_keeps_unknown_rows(spark):
-    df = spark.createDataFrame([(1,), (2,), (None,)], "is_migrated int")
-    legacy, migrated = route.split_migrated(df)
-    assert [r[0] for r in legacy.collect()] == [1]
-    assert sorted(str(r[0]) for r in migrated.collect()) == ["2", "None"]
+def test_generated_ids_tell_their_event(spark):
+    df = spark.createDataFrame([(0,), (7,), (generate.MOST_SEQ,)], "seq long")
+    got = df.select("seq", *[generate.born(generate.numeric_id("seq", s)).alias(s) for s in generate.SLOTS])
+    for r in got.collect():
+        assert {r[s] for s in generate.SLOTS} == {r.seq}
+    assert spark.range(1).select(generate.born("id")).first()[0] == -1
+
+
+def test_repeated_dimension_keys_do_not_multiply_events(spark):
+    ev = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, k string")
+    dim = spark.createDataFrame([("a", 5), ("a", 4), ("a", None), (None, 9)], "k string, v int")
+    got = lookup.enrich(ev, dim, ["k"]).collect()
+    assert sorted(r.n for r in got) == [1, 2, 3] and {r.n: r.v for r in got}[2] is None
 
 
 def test_touching_by_named_column_and_by_difference(spark):
