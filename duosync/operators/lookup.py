@@ -165,14 +165,17 @@ def find_or_create(
     """
     keys = list(keys)
     has_key = all_of([F.col(k).isNotNull() for k in keys])
-    unknown = ev.join(dim.select(*keys), keys, "left_anti")
+    # The dimension is restricted and reduced once; who finds no id there is unknown to it.
+    ids = restrict(dim.select(*keys, id_col), ev, keys).groupBy(*keys).agg(F.min(id_col).alias(id_col))
+    known = ev.join(ids, keys, "left")
+    unknown = known.filter(F.col(id_col).isNull()).drop(id_col)
     makers = pick_one(unknown.filter(has_key), keys, [F.col(seq)], newest=False)
-    new = make(makers.unionByName(ev.filter(~has_key)))
-    ids = dim.select(*keys, id_col)
-    ids = pick_one(restrict(ids, ev, keys), keys, [F.col(id_col)], newest=False)
-    made = new.filter(has_key).select(*keys, id_col)
-    resolved = ev.join(ids.unionByName(made), keys, "left")
-    return resolved, new
+    new = make(makers.unionByName(unknown.filter(~has_key)))
+    made = new.filter(has_key).select(*keys, F.col(id_col).alias("_made"))
+    resolved = known.join(made, keys, "left").withColumn(
+        id_col, F.coalesce(F.col(id_col), F.col("_made"))
+    )
+    return resolved.drop("_made"), new
 
 
 def update_from(
