@@ -82,11 +82,14 @@ NODES = (
 
 
 class Element:
-    __slots__ = ("tag", "path", "above", "chrome", "content", "children")
+    """An element: ``chrome`` says that it or one above it isn't the article, ``inner`` the same
+    from the innermost article or main element on."""
 
-    def __init__(self, tag, path, above, chrome, content):
+    __slots__ = ("tag", "path", "above", "chrome", "inner", "content", "children")
+
+    def __init__(self, tag, path, above, chrome, inner, content):
         self.tag, self.path, self.above = tag, path, above
-        self.chrome, self.content, self.children = chrome, content, []
+        self.chrome, self.inner, self.content, self.children = chrome, inner, content, []
 
 
 def _marks(tag: str, rest: str) -> tuple[str, bool]:
@@ -104,6 +107,8 @@ def _marks(tag: str, rest: str) -> tuple[str, bool]:
         elif key in ("class", "id"):
             words = PARTS.findall(value)
             name += words
+            if tag in ("html", "body"):  # these tell what the page has
+                continue
             chrome = chrome or bool(WORDS.intersection(words))
             if "header" in words and (len(words) == 1 or SITE.intersection(words)):
                 chrome = True
@@ -118,7 +123,7 @@ class Page:
     """
 
     def __init__(self, source: str):
-        root = Element("", 0, (), False, 0)
+        root = Element("", 0, (), False, False, 0)
         self.blocks: list[tuple[str, Element]] = []
         self.elements = [root]
         stack, inline, buffer = [root], [], []
@@ -167,6 +172,7 @@ class Page:
                         path,
                         (*here.above, path) if path != here.path else here.above,
                         here.chrome or chrome,
+                        chrome or (here.inner and tag not in MAIN),
                         max(here.content, MAIN.get(tag, 0)),
                     )
                     here.children.append(label)
@@ -202,10 +208,8 @@ class Page:
         level = max(e.content for e in self.elements)
         if level:
             inside = [t for t, e in kept if e.content == level]
-            if not inside:  # the article stands in an element that was never closed
-                inside = [
-                    t for t, e in self.blocks if e.content == level and e.tag not in CHROME
-                ]
+            if not inside:  # what stands around the article is named or closed wrongly
+                inside = [t for t, e in self.blocks if e.content == level and not e.inner]
             return " ".join(inside)
         return " ".join(t for t, e in kept if not low.intersection(e.above))
 

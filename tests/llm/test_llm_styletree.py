@@ -28,6 +28,9 @@ CASES = {
     "<div class='site-header'>h</div><div class=header>h</div><p class='x-header'>k": "k",
     "<main><p>m</p><article>a</article></main>": "a",
     "<nav><ul><li>x<article>kept</article>": "kept",
+    "<body class='has-sidebar'><p>t": "t",
+    "<div class='with-sidebar'><article>a<aside>n</aside><div class=ad>m</div></article></div>": "a",
+    "<article>a</article><div id=comments><article>c</article></div>": "a",
     "a < b and <3 <p>1 &lt; 2 &#8364; &bogus; &amp;amp;": "a < b and <3 1 < 2 € &bogus; &amp;",
     "<p>x\xa0\n\t y</p></div></p><span class=ad>n</span>z": "x y z",
     "<a href=\"x>y\">in</a>line<td>c1<td>c2": "inline c1 c2",
