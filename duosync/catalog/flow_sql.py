@@ -109,21 +109,22 @@ _SYSTEM = f"TIMESTAMP '{NOW}'"
 
 
 def base(after: bool = False) -> str:
-    """Common tables. ``after`` shows transactions and accounts with their feeds applied, and
-    counts the attempts that come before each verification event."""
+    """Common tables. ``after`` is for all feeds in one batch: attempts count as of each
+    verification event, and accounts have two phases, before (0) and after (1) their own event."""
     tried = "OR event_type = 'error' AND e.event_id * 4 + 2 < l.ver_id * 4 + 1" if after else ""
-    piv = PIVOT.replace("max(status)", "max(next_status)") if after else PIVOT
+    stored = f"SELECT customer_id, is_primary, {{phase}} AS phase FROM ({in_sql(Q.CUSTOMER_ACCOUNT)}) c"
+    owned = stored.format(phase=0)
     if after:
-        owned = f"""SELECT customer_id, routing_number, account_number, is_primary
+        owned += f""" UNION ALL SELECT customer_id, is_primary, 1
             FROM ({in_sql(S.ACCOUNT)}) a WHERE segment <> 'BUILDING'
-          UNION ALL SELECT customer_id, routing_number, account_number, is_primary
+          UNION ALL SELECT customer_id, is_primary, 1
             FROM ({in_sql(Q.CUSTOMER_ACCOUNT)}) c WHERE customer_bank_account_id >= 50000000"""
     else:
-        owned = f"SELECT * FROM ({in_sql(Q.CUSTOMER_ACCOUNT)}) c"
+        owned += " UNION ALL " + stored.format(phase=1)
     return f"""
 ver AS ({in_sql(Q.VERIFICATION)}),
 acc AS ({in_sql(Q.DATED)}),
-piv AS ({piv}),
+piv AS ({PIVOT}),
 lockrow AS (SELECT id AS lock_id, bank_account_verification_id AS ver_id
   FROM ({in_sql(Q.LOCK)}) l),
 clicks AS (SELECT l.lock_id, l.ver_id, count(*) AS n FROM lockrow l
@@ -131,9 +132,9 @@ clicks AS (SELECT l.lock_id, l.ver_id, count(*) AS n FROM lockrow l
   GROUP BY l.lock_id, l.ver_id),
 stored_clicks AS (SELECT user_id, count(*) AS n FROM events
   WHERE event_type = 'click' GROUP BY user_id),
-owned AS (SELECT customer_id, count(*) AS n_accounts,
+owned AS (SELECT customer_id, phase, count(*) AS n_accounts,
     CASE WHEN count(*) = 1 THEN min(is_primary) END AS account_primary
-  FROM ({owned}) o GROUP BY customer_id)
+  FROM ({owned}) o GROUP BY customer_id, phase)
 """
 
 
@@ -253,7 +254,8 @@ def customer_log() -> str:
 _CHECKS = """ver v JOIN acc a ON a.customer_id = v.bank_account_id
   LEFT JOIN piv pv ON pv.bank_account_verification_id = v.bank_account_verification_id
   LEFT JOIN lockrow l ON l.ver_id = v.bank_account_verification_id
-  LEFT JOIN owned o ON o.customer_id = a.customer_id"""
+  LEFT JOIN owned o ON o.customer_id = a.customer_id
+    AND o.phase = CAST(v.bank_account_verification_id * 4 + 1 > a.customer_id * 4 AS INTEGER)"""
 _REFRESH = "(v.is_migrated <> 2 AND v.verification_type = 'MicroDeposit')"
 _FINE = "coalesce(n_accounts, 0) <= 1"
 
@@ -354,6 +356,7 @@ def attempt_patches() -> str:
       LEFT JOIN acc a ON a.customer_id = v.bank_account_id
       LEFT JOIN piv pv ON pv.bank_account_verification_id = v.bank_account_verification_id
       LEFT JOIN owned o ON o.customer_id = a.customer_id
+        AND o.phase = CAST(e.event_id * 4 + 2 > a.customer_id * 4 AS INTEGER)
       WHERE {_FINE} AND (v.is_migrated <> 2 OR ((v.is_migrated <> 2) IS NOT TRUE
         AND value > 5 AND value <= 60 AND event_id % 7 <> 0))"""
 

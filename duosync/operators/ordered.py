@@ -43,9 +43,9 @@ def running(
 ) -> DataFrame:
     """Add running values over the rows *before* each row of the same key.
 
-    ``values`` maps a new column to ``("count", condition)``, ``("last", value)`` or
-    ``("max", value)``. ``count`` counts rows whose condition holds (all rows for
-    None) and is 0 at first; ``last`` and ``max`` skip NULL values. Rows with equal
+    ``values`` maps a new column to ``("count", condition)``, ``("sum", value)``,
+    ``("last", value)`` or ``("max", value)``. ``count`` counts rows whose condition holds (all rows for
+    None) and is 0 at first, as is ``sum``; ``last`` and ``max`` skip NULL values. Rows with equal
     ``order`` are told apart by ``ties``.
     """
     keys = list(keys)
@@ -73,6 +73,11 @@ def running(
             totals.append(F.count(v).alias(total))
             carries[carry] = F.sum(total).over(before)
             merged[name] = F.col(own) + F.coalesce(F.col(carry), F.lit(0))
+        elif kind == "sum":
+            in_chunk[own] = F.sum(v).over(inside)
+            totals.append(F.sum(v).alias(total))
+            carries[carry] = F.sum(total).over(before)
+            merged[name] = F.coalesce(F.col(own), F.lit(0)) + F.coalesce(F.col(carry), F.lit(0))
         elif kind == "last":
             in_chunk[own] = F.last(v, ignorenulls=True).over(inside)
             totals.append(F.max_by(v, F.when(v.isNotNull(), at)).alias(total))
@@ -99,7 +104,7 @@ def running(
     on = [F.col(k) == F.col(f"_k_{i}") for i, k in enumerate(keys)]
     on.append(F.col("_chunk") == F.col("_k_chunk"))
     for name, (kind, _) in values.items():
-        nothing = F.lit(0) if kind == "count" else F.lit(None)
+        nothing = F.lit(0) if kind in ("count", "sum") else F.lit(None)
         merged[name] = F.when(known, merged[name]).otherwise(nothing)
     out = df.withColumns(in_chunk).join(summary, on, "left").withColumns(merged)
     helpers = [c for c in out.columns if c.startswith(("_v_", "_own_", "_pre_", "_k_"))]

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duosync.operators.generate import MOST_SEQ
+from duosync.operators.generate import MOST_SEQ, born
 from duosync.operators.lookup import update_from
 from duosync.operators.merge import apply_patches
 from duosync.operators.rejects import (
@@ -254,7 +254,17 @@ def run_batch(
         ["modern_bank_account_id"], ["modern_micro_deposit_id", "legacy_micro_deposit_id"],
     )
 
-    # Stage 2: legacy side.
+    # Stage 2: legacy side. It reads transactions and accounts as they are before each event.
+    seen = dict(t)
+    if given & {"transaction", "modern_deposit"}:
+        seen[legacy.FIRST + "transaction"] = start["transaction"]
+        seen[legacy.TXN_VERSIONS] = keep(transaction_versions(fresh.get("transaction"), deposits, t))
+    changes = [fresh["customer_account"]] if "customer_account" in given else []
+    changes += [made["customer_account"]] if "customer_account" in made else []
+    if changes:
+        seen[legacy.FIRST + "customer_account"] = start["customer_account"]
+        seen[legacy.ACCOUNT_EVENTS] = union_all(changes)
+
     def legacy_feed(name: str) -> DataFrame | None:
         parts = [feeds[name]] if name in given else []
         if name in made:
@@ -263,14 +273,14 @@ def run_batch(
 
     results = []
     if (ev := legacy_feed("customer_account")) is not None:
-        enriched = keep(legacy.enrich_customer_accounts(ev, t, keep))
+        enriched = keep(legacy.enrich_customer_accounts(ev, seen, keep))
         results.append(legacy.apply_customer_accounts(ev, t, now, mask=mask, enriched=enriched))
     if (ev := legacy_feed("verification")) is not None:
         tries = legacy_feed("attempt")
-        enriched = keep(legacy.enrich_verifications(ev, t, keep, start["attempt"], tries))
+        enriched = keep(legacy.enrich_verifications(ev, seen, keep, start["attempt"], tries))
         results.append(legacy.apply_verifications(ev, t, now, mask=mask, enriched=enriched))
     if (ev := legacy_feed("attempt")) is not None:
-        enriched = keep(legacy.enrich_attempts(ev, t, start["attempt"], keep))
+        enriched = keep(legacy.enrich_attempts(ev, seen, start["attempt"], keep))
         results.append(legacy.apply_attempts(ev, t, now, enriched=enriched))
     # Postings of the deposit flow touch migrated verifications only, which this flow leaves.
     if (ev := legacy_feed("transaction")) is not None:
@@ -304,6 +314,35 @@ def run_batch(
     return BatchResult(outputs, t, touched, patches, keep.release)
 
 
+def transaction_versions(feed: DataFrame | None, deposits: Tables, after: Tables) -> DataFrame:
+    """Transactions as this batch's events leave them: (verification, id, seq, values, is_new).
+
+    Images of the feed, rows that deposits make, and postings, which set all transactions of a
+    verification to Processed.
+    """
+    key = "bank_account_verification_id"
+    cols = [key, "id", "created_date", "amount", "status"]
+    parts = []
+    if feed is not None:
+        images = feed.filter("op <> 'D'")
+        parts.append(
+            images.select(
+                *[F.col(f"after.{c}").alias(c) for c in cols], "seq", (F.col("op") == "I").alias("is_new")
+            )
+        )
+    made = deposits["transaction"]
+    parts.append(made.select(*cols, born("id").cast("long").alias("seq"), F.lit(True).alias("is_new")))
+    rows = after["transaction"].select(*[c for c in cols if c != "status"])
+    posted = rows.join(deposits["posting"].select(key, "seq"), key)
+    parts.append(
+        posted.filter(born("id") < F.col("seq")).select(
+            key, "id", "created_date", "amount", F.lit("Processed").alias("status"), "seq",
+            F.lit(False).alias("is_new"),
+        )
+    )
+    return union_all(parts)
+
+
 def _none_applied(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema(APPLIED))
 
