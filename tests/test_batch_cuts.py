@@ -87,7 +87,7 @@ def test_attempts_after_the_verification_do_not_count(spark):
     assert [r.attempts for r in found.collect()] == [3] == [want["verification_attempts"]]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_random_cuts(spark, seed):
     rng = random.Random(seed)
     tries = [tried(s, rng.choice([2, 3])) for s in rng.sample(range(1, 30), 6)]
@@ -97,13 +97,13 @@ def test_random_cuts(spark, seed):
     }
     world = attempts_world(spark)
     once = in_parts(spark, feeds, world, [])
-    cuts = sorted(rng.sample(range(1, 62), 3))
+    cuts = sorted(rng.sample(range(1, 62), 2))
     several = in_parts(spark, feeds, world, cuts)
     assert state(several[0]) == state(once[0]), cuts
     assert several[1] == once[1], cuts
 
 
-@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("seed", [3])
 def test_random_cuts_over_deposits_and_accounts(spark, seed):
     """Statuses and new rows of transactions, and accounts that come, change and go."""
     rng = random.Random(seed)
@@ -155,7 +155,7 @@ def test_random_cuts_over_deposits_and_accounts(spark, seed):
         world["verification"].schema,
     )
     once = in_parts(spark, feeds, world, [])
-    several = in_parts(spark, feeds, world, sorted(rng.sample(range(1, 200), 4)))
+    several = in_parts(spark, feeds, world, sorted(rng.sample(range(1, 200), 2)))
     assert state(several[0]) == state(once[0])
     assert several[1] == once[1]
 
@@ -246,7 +246,7 @@ def test_stream_store(spark):
         {"seq": 1, "op": "D", "old": account(2, account_type_id=2)},
         {"seq": 2, "op": "D", "old": account(3, account_type_id=2)},
     ])})
-    for _ in range(2):
+    for _ in range(2):  # the second time it is a replay
         process_batch(gone, 0, store, f"{root}/out", now=now)
         assert rows(store.load()["customer_account"]) == []
     more = union_feeds({"attempt": feed(spark, "attempt", [tried(5, 3)])})
