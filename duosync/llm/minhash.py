@@ -39,7 +39,7 @@ LEAST_AGREEMENT = 0.55
 # Members of a bucket that one task compares at a time.
 BLOCK = 512
 SEED = 20_240_229
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class Hashes(dict):
