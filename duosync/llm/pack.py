@@ -15,6 +15,7 @@ split again by powers of two, so every sequence has a power of two of tokens and
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from duosync.llm.common import Scratch
 CAPACITY = 2048
 END_ID = 1
 # Distinct strings a worker remembers; then it starts over. About 100 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
@@ -40,6 +41,21 @@ _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _TAIL = ".,;:!?"
 
 
+class Remembered(dict):
+    """What ``make`` gives for a string, kept for short strings up to a bound."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, string: str) -> bytes:
+        made = self.make(string)
+        if len(string) < 64:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[string] = made
+        return made
+
+
 class TokenBytes:
     """The ids of a text as little-endian 32-bit numbers, equal to one call of the tokenizer.
 
@@ -53,8 +69,8 @@ class TokenBytes:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.strings: dict[str, bytes] = {"": b""}
+        self.words = Remembered(self._merged)
+        self.strings = Remembered(self._string)
         # Byte-level vocabularies name each byte by a printable character.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in set(plain)]
@@ -65,46 +81,31 @@ class TokenBytes:
         return np.array(ids, "<u4").tobytes()
 
     def _merged(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            ids = [t.id for t in self.model.tokenize(word)]
-            found = self.words[word] = np.array(ids, "<u4").tobytes()
-        return found
+        ids = [t.id for t in self.model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _letters(self, word: str) -> bytes | None:
         """A word of Latin letters only, else None."""
         if not word.isalpha() or max(word) > "ſ" or "İ" in word:
             return None
         raw = word.lower().encode().decode("latin-1")
-        return self._merged(raw.translate(self.names))
+        return self.words[raw.translate(self.names)]
 
     def _string(self, string: str) -> bytes:
         if "<|" in string:
             return self._whole(string)
         if string.isascii() and string.isprintable():
-            return b"".join(map(self._merged, _ASCII.findall(string.lower())))
+            return b"".join(map(self.words.__getitem__, _ASCII.findall(string.lower())))
         body = string.rstrip(_TAIL)
         ids = self._letters(body) if body else None
         if ids is None:
             return self._whole(string)
-        return ids + self._merged(string[len(body) :]) if len(body) < len(string) else ids
+        return ids + self.words[string[len(body) :]] if len(body) < len(string) else ids
 
     def __call__(self, text: str) -> bytes:
         if "<|" in text:  # a special token's string may hold no white space, but cut nothing here
             return self._whole(text)
-        known, out = self.strings, []
-        for string in text.replace("\n", " ").split(" "):
-            ids = known.get(string)
-            if ids is None:
-                ids = self._string(string)
-                if len(string) < 64:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[string] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.strings.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _tokenizers: dict[str, TokenBytes] = {}
