@@ -1,4 +1,5 @@
 import collections
+import functools
 import zlib
 
 import numpy as np
@@ -20,10 +21,15 @@ TEXTS = [
 ]
 
 
-def reference(text):
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(tokenizer_file())
+    return Tokenizer.from_file(tokenizer_file())
+
+
+def reference(text):
+    tok = tokenizer()
     return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
