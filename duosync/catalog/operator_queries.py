@@ -519,14 +519,9 @@ def cases_audit(d: Data) -> DataFrame:
 
 
 def dense_ids(d: Data) -> DataFrame:
-    """Dense numbers are consecutive whatever their order, which these totals show."""
+    """The number of every order; which order has which follows a hash that SQL doesn't know."""
     out = generate.dense_ids(d.orders.select("o_orderkey"), ["o_orderkey"], "dense", start=100)
-    return out.agg(
-        F.min("dense").alias("first_id"),
-        F.max("dense").alias("last_id"),
-        F.countDistinct("dense").alias("n_ids"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
+    return out.select(F.col("dense").cast("long").alias("dense"))
 
 
 def verification_rows(d: Data) -> DataFrame:
