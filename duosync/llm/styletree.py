@@ -11,7 +11,8 @@ The tree never gets to one place: nodes are rows keyed by (host, path), entropie
 are built up before the shuffle, so a host with a third of all pages is like any other.
 
 Elements that say what they are (``nav``, ``footer``, ``class="ad"`` ...) go whatever their
-entropy, and ``article`` and ``main`` say that they are content: entropy decides for the rest, so
+entropy, but a wrapper that holds most of a page's text is not judged by a word of its class.
+``article`` and ``main`` say that they are content: entropy decides for the rest, so
 an article that many pages of a site repeat is kept.
 """
 
@@ -64,6 +65,11 @@ WORDS = frozenset(
 )
 SITE = frozenset(["site", "page", "top", "global", "main"])
 MAIN = {"main": 1, "article": 2}
+# How sure an element's marks are that it isn't the article: the share of the page's text above
+# which they don't count. A form, and a class that merely holds one of the words, may be a wrapper of
+# the page ("has-sidebar"); so may, less likely, one that begins with it ("sidebar-left"). What is named
+# by just the word goes, unless the page has no other text; what its tag or role says always does.
+HOLDS, BEGINS, NAMED, SURE = 0.5, 0.9, 1.0, 2.0
 # Start tags that end an open paragraph or an open element of their own kind.
 SAME = frozenset("li dt dd option tr td th p".split())
 
@@ -83,36 +89,48 @@ NODES = (
 
 class Element:
     """An element: ``chrome`` says that it or one above it isn't the article, ``inner`` the same
-    from the innermost article or main element on."""
+    from the innermost article or main element on, ``sure`` the same by tags and roles alone.
+    ``size`` is the length of its text outside of sure ones."""
 
-    __slots__ = ("tag", "path", "above", "chrome", "inner", "content", "children")
+    __slots__ = (
+        "tag", "path", "above", "parent", "mark", "sure", "content", "children", "size", "chrome", "inner"
+    )
 
-    def __init__(self, tag, path, above, chrome, inner, content):
+    def __init__(self, tag, path, above, parent, mark, content):
         self.tag, self.path, self.above = tag, path, above
-        self.chrome, self.inner, self.content, self.children = chrome, inner, content, []
+        self.parent, self.mark, self.content, self.children = parent, mark, content, []
+        self.sure = mark >= SURE or (parent is not None and parent.sure)
+        self.size, self.chrome, self.inner = 0, False, False
 
 
-def _marks(tag: str, rest: str) -> tuple[str, bool]:
-    """The element's name in the tree, and whether it says that it isn't the article."""
-    chrome = tag in CHROME
+def _marks(tag: str, rest: str) -> tuple[str, float]:
+    """The element's name in the tree, and how sure it says that it isn't the article (0: not at all)."""
+    mark = 0.0
+    if tag in CHROME:
+        mark = HOLDS if tag == "form" else SURE
     if not rest.strip(" /\n\t\r"):
-        return tag, chrome
+        return tag, mark
     name = [tag]
     for key, value in ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden":
-            chrome = True
-        elif key == "role":
-            chrome = chrome or value in ROLES
+            mark = SURE
+        elif key == "role" and value in ROLES:
+            mark = max(mark, HOLDS if value == "form" else SURE)
         elif key in ("class", "id"):
             words = PARTS.findall(value)
             name += words
             if tag in ("html", "body"):  # these tell what the page has
                 continue
-            chrome = chrome or bool(WORDS.intersection(words))
+            if WORDS.intersection(words):
+                for one in value.split():
+                    parts = PARTS.findall(one)
+                    if WORDS.intersection(parts):
+                        sure = NAMED if len(parts) == 1 else BEGINS if parts[0] in WORDS else HOLDS
+                        mark = max(mark, sure)
             if "header" in words and (len(words) == 1 or SITE.intersection(words)):
-                chrome = True
-    return ".".join(name), chrome
+                mark = max(mark, NAMED)
+    return ".".join(name), mark
 
 
 class Page:
@@ -123,7 +141,7 @@ class Page:
     """
 
     def __init__(self, source: str):
-        root = Element("", 0, (), False, False, 0)
+        root = Element("", 0, (), None, 0.0, 0)
         self.blocks: list[tuple[str, Element]] = []
         self.elements = [root]
         stack, inline, buffer = [root], [], []
@@ -162,7 +180,7 @@ class Page:
                     if tag not in INLINE:
                         self._end_implied(stack, tag)
                     here = stack[-1]
-                    label, chrome = _marks(tag, match[3])
+                    label, mark = _marks(tag, match[3])
                     if len(stack) < DEPTH:
                         path = xxhash.xxh64_intdigest(f"{here.path} {label}") - (1 << 63)
                     else:
@@ -171,15 +189,15 @@ class Page:
                         tag,
                         path,
                         (*here.above, path) if path != here.path else here.above,
-                        here.chrome or chrome,
-                        chrome or (here.inner and tag not in MAIN),
+                        here,
+                        mark,
                         max(here.content, MAIN.get(tag, 0)),
                     )
                     here.children.append(label)
                     self.elements.append(new)
                     if tag in RAW:
                         close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
-                        if not new.chrome:
+                        if not new.sure:
                             stack.append(new)
                             say(source[at : close.start() if close else end])
                             flush()
@@ -190,6 +208,21 @@ class Page:
             match = TAG.search(source, at)
         say(source[at:])
         flush()
+        self._judge()
+
+    def _judge(self) -> None:
+        """Mark what isn't the article, from the shares of the page's text."""
+        for text, element in self.blocks:
+            if not element.sure:
+                element.size += len(text)
+        for element in reversed(self.elements[1:]):
+            element.parent.size += element.size
+        total = self.elements[0].size
+        for element in self.elements[1:]:
+            above = element.parent
+            own = element.mark > 0 and element.size <= element.mark * total
+            element.chrome = own or above.chrome
+            element.inner = own or (above.inner and element.tag not in MAIN)
 
     @staticmethod
     def _end_implied(stack: list[Element], tag: str) -> None:
@@ -203,15 +236,18 @@ class Page:
                 return
 
     def text(self, low: frozenset[int] = frozenset()) -> str:
-        """Blocks of the article, or else of what no rule and no entropy takes away."""
+        """Blocks of the article, or else of what no rule and no entropy takes away.
+
+        Articles in what is not the article (comments, teasers) count only if the page has no other text.
+        """
         kept = [(t, e) for t, e in self.blocks if not e.chrome]
-        level = max(e.content for e in self.elements)
-        if level:
-            inside = [t for t, e in kept if e.content == level]
-            if not inside:  # what stands around the article is named or closed wrongly
-                inside = [t for t, e in self.blocks if e.content == level and not e.inner]
-            return " ".join(inside)
-        return " ".join(t for t, e in kept if not low.intersection(e.above))
+        if not kept:  # what stands around the article is named or closed wrongly
+            kept = [(t, e) for t, e in self.blocks if e.content and not e.inner]
+        if not kept:
+            kept = [(t, e) for t, e in self.blocks if not e.sure]
+        level = max((e.content for _, e in kept), default=0)
+        inside = [(t, e) for t, e in kept if e.content == level]
+        return " ".join(t for t, e in inside if level or not low.intersection(e.above))
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -92,3 +92,32 @@ def test_repeats_and_empty(spark):
     rows = [(1, "u", "<p>t")] * 3
     assert [r.text for r in extract(frame(spark, rows), Scratch(spark)).collect()] == ["t"] * 3
     assert extract(frame(spark, []), Scratch(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<div class=post><p>text</div><div id=comments><article>c</article></div>", "text"),
+        ("<div class=post><p>text</div><article class='comment-body'>c</article>", "text"),
+        ("<main><p>text</main><div class=related><article>t</article></div>", "text"),
+        ("<main><p>text<div class=related><article>t</article></div></main>", "text"),
+        ("<article class='comment-body'>all there is</article>", "all there is"),
+        ("<div class='has-sidebar'><p>the text</p><div class=sidebar>s</div></div>", "the text"),
+        ("<p>skip<div class='page with-comments'><h1>T</h1><p>the text</div>", "skip T the text"),
+        ("<div class='sidebar-layout'><p>the text</div>", "the text"),
+        ("<form><p>the text<input><select><option>o</select></form>", "the text"),
+        ("<div class=post>text</div><div id=comments>longer than the text is</div>", "text"),
+        ("<div class=post>text</div><form>name</form><div class=my-share>s</div>", "text"),
+    ],
+)
+def test_wrappers_and_strange_articles(source, want):
+    assert Page(source).text() == want
+
+
+def test_repeated_wrapper_is_judged_by_the_tree(spark):
+    """A wrapper with a telling word that holds most of each page, on all pages the same or not."""
+    page = "<body><div class='has-sidebar'><p>{}</div><p>{}"
+    rows = [(i, "http://a.org", page.format(f"own text {i}", "f")) for i in range(6)]
+    rows += [(10 + i, "http://b.org", page.format("the same on all pages", f"own {i}")) for i in range(6)]
+    got = {r.page_id: r.text for r in extract(frame(spark, rows), Scratch(spark)).collect()}
+    assert got[0] == "own text 0" and got[11] == "own 1"
