@@ -12,8 +12,8 @@ are built up before the shuffle, so a host with a third of all pages is like any
 
 Elements that say what they are (``nav``, ``footer``, ``class="ad"`` ...) go whatever their
 entropy, but a wrapper that holds most of a page's text is not judged by a word of its class.
-``article`` and ``main`` say that they are content: entropy decides for the rest, so
-an article that many pages of a site repeat is kept.
+``article`` and ``main`` say that they are content: entropy decides for the rest, also for the branches
+inside them, but an article that many pages of a site repeat as a whole is kept.
 """
 
 from __future__ import annotations
@@ -236,7 +236,7 @@ class Page:
                 return
 
     def text(self, low: frozenset[int] = frozenset()) -> str:
-        """Blocks of the article, or else of what no rule and no entropy takes away.
+        """Blocks of the article, or else of what no rule takes away, without low branches.
 
         Articles in what is not the article (comments, teasers) count only if the page has no other text.
         """
@@ -247,7 +247,10 @@ class Page:
             kept = [(t, e) for t, e in self.blocks if not e.sure]
         level = max((e.content for _, e in kept), default=0)
         inside = [(t, e) for t, e in kept if e.content == level]
-        return " ".join(t for t, e in inside if level or not low.intersection(e.above))
+        high = [t for t, e in inside if not low.intersection(e.above)]
+        if level and not high:  # an article that other pages repeat
+            high = [t for t, _ in inside]
+        return " ".join(high)
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +272,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen[element.path, 1, style] += 1
                 nodes.setdefault((host, element.path), [element.above, False, 0])
                 held[element.path] = False
-                if element.content or element.tag in ("html", "body"):
+                if element.tag in MAIN or element.tag in ("html", "body"):
                     for path in element.above:
                         held[path] = True
             for path, content in held.items():
@@ -299,7 +302,8 @@ def style_tree(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """The merged trees of pages with (host, html): a row per branch.
 
     The columns are host, path, above (the paths from the top to the branch), pages, content (it
-    holds or is an article somewhere) and importance from 0 to 1.
+    holds or is an article somewhere; branches inside one are like any other) and importance from
+    0 to 1.
     """
     raw = scratch(pages.select("host", "html").mapInArrow(_nodes, NODES))
     keys = ["host", "path"]

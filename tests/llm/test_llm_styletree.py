@@ -114,6 +114,21 @@ def test_wrappers_and_strange_articles(source, want):
     assert Page(source).text() == want
 
 
+@pytest.mark.parametrize("tag", ["main", "article"])
+def test_repeated_block_inside_the_article(spark, tag):
+    page = (
+        f"<html><body><{tag}><div class=box><p>Same line on all pages</div>"
+        "<h1>Title {0}</h1><p>own {0} words<p>more {1}<ul class=l><li>One<li>Two</ul>"
+        f"</{tag}></body></html>"
+    )
+    rows = [(i, "http://a.org/x", page.format(i, i * 7)) for i in range(8)]
+    rows += [(20 + i, "http://b.org/x", page.format(i, i * 7)) for i in range(3)]
+    got = {r.page_id: r.text for r in extract(frame(spark, rows).repartition(3), Scratch(spark)).collect()}
+    for i in range(8):
+        assert got[i] == f"Title {i} own {i} words more {i * 7}"
+    assert got[20].startswith("Same line") and got[20].endswith("One Two")
+
+
 def test_repeated_wrapper_is_judged_by_the_tree(spark):
     """A wrapper with a telling word that holds most of each page, on all pages the same or not."""
     page = "<body><div class='has-sidebar'><p>{}</div><p>{}"
