@@ -3,7 +3,7 @@
 The model. A pair (h, w) that was seen r times has P(w|h) = d_r * r / (c(h) + e); any other w has
 P(w|h) = a(h) * P(w), where a(h) shares out exactly what the seen pairs leave. P(w) is built in
 the same way from single tokens, and its rest goes to one class of unknown tokens. d_r comes from Good
-and Turing's estimate for r <= 5 and is 1 above. e is a small constant, so a history without
+and Turing's estimate on smoothed counts for r <= 5 and is 1 above. e is a small constant, so a history without
 rare successors leaves something too. After an unknown history P(w|h) = P(w).
 
 Where things are. Token counts are a table. Pairs and where they occur are dealt by their second token,
@@ -79,19 +79,24 @@ def discounts(counts: list[int]) -> list[float]:
     """d_1 .. d_5 from the numbers of types seen 1 .. 6 times.
 
     Katz's form of Good-Turing: types seen once give their mass to unseen ones, those seen more
-    than five times keep theirs. Where the counts of counts don't give factors in (0, 1), as in small
-    samples, an absolute discount takes their place.
+    than five times keep theirs. The counts of counts are smoothed first, by a line through their logs
+    against log r in which each weighs as much as its own accuracy. A line that falls faster than 1 / r
+    gives factors in (0, 1). Without one, as in small samples, an absolute discount takes their place.
     """
-    n = [0, *counts]
-    out: list[float] = []
-    if all(n[1:]):
-        rest = (RARE + 1) * n[RARE + 1] / n[1]
-        if rest < 1:
-            out = [((r + 1) * n[r + 1] / n[r] / r - rest) / (1 - rest) for r in range(1, RARE + 1)]
-    if out and all(0 < d < 1 for d in out):
-        return out
-    share = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
-    return [1 - share / r for r in range(1, RARE + 1)]
+    r, n = np.arange(1, RARE + 2), np.array(counts, float)
+    some = n > 0
+    if n[0] and some.sum() > 1:
+        # The log of a count n has a variance of about 1 / n.
+        x, y, weight = np.log(r[some]), np.log(n[some]), n[some]
+        x, y = x - np.average(x, weights=weight), y - np.average(y, weights=weight)
+        slope = (weight * x * y).sum() / (weight * x * x).sum()
+        if slope < -1 - 1e-9:
+            # (r + 1) n_(r + 1) / (r n_r) on the line.
+            turing = ((r[:-1] + 1) / r[:-1]) ** (slope + 1)
+            rest = (RARE + 1) ** (slope + 1)
+            return ((turing - rest) / (1 - rest)).tolist()
+    share = n[0] / (n[0] + 2 * n[1]) if n[0] and n[1] else 0.5
+    return [float(1 - share / r) for r in range(1, RARE + 1)]
 
 
 class Tokens:

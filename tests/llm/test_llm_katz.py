@@ -111,3 +111,26 @@ def test_discounts():
         assert all(0 < d < 1 for d in discounts(odd))
     known = Tokens(1000, 50, [20, 10, 5, 3, 2, 1], 10)
     assert known.unknown > 0
+
+
+@pytest.mark.parametrize(
+    "counts",
+    [
+        [215810, 61309, 26017, 14862, 13741, 7222],  # tokens and pairs of the given documents
+        [1655711, 262472, 56325, 23262, 20048, 8151],
+        [100, 30, 0, 8, 5, 0],
+    ],
+)
+def test_good_turing_on_uneven_counts(counts):
+    got = discounts(counts)
+    assert all(0 < d < 1 for d in got) and got == sorted(got)
+    share = counts[0] / (counts[0] + 2 * counts[1])
+    assert got != pytest.approx([1 - share / r for r in range(1, 6)], abs=1e-3)
+    # On a straight line it is Katz's form itself, and one count moves nothing far.
+    line = [1e9 / r**2.2 for r in range(1, 7)]
+    rest = 6 * line[5] / line[0]
+    want = [((r + 1) * line[r] / line[r - 1] / r - rest) / (1 - rest) for r in range(1, 6)]
+    assert discounts(line) == pytest.approx(want)
+    for k in range(6):
+        moved = [n * (1.05 if i == k else 1) for i, n in enumerate(counts)]
+        assert discounts(moved) == pytest.approx(got, abs=0.05)
