@@ -365,7 +365,9 @@ def _meet(tokens):
         kind = rare[back]
         for r, name in enumerate(X, 1):
             texts[name] = sums(doc[kind == r], None, size)
-        yield _rows(TEXT, docs, **texts)
+        # Only documents with a token in this part.
+        some = np.flatnonzero(np.bincount(doc, minlength=size))
+        yield _rows(TEXT, docs[some], **{k: v[some] for k, v in texts.items()})
 
         here = np.flatnonzero(seen)
         total = len(before)

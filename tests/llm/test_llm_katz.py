@@ -134,3 +134,16 @@ def test_good_turing_on_uneven_counts(counts):
     for k in range(6):
         moved = [n * (1.05 if i == k else 1) for i, n in enumerate(counts)]
         assert discounts(moved) == pytest.approx(got, abs=0.05)
+
+
+def test_parts_give_rows_only_for_texts_they_have(spark, monkeypatch):
+    monkeypatch.setattr(katz, "PART_TOKENS", 20)
+    rows = [(i, f"w{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, tokens = katz.count_tokens(docs, Scratch(spark))
+    assert tokens.parts > 20
+    sent = spark.sparkContext.broadcast(tokens)
+    found = docs.mapInArrow(katz._send(sent), katz.SHARE).groupBy("part")
+    texts = found.applyInArrow(katz._meet(sent), katz.FOUND).filter(f"kind = {katz.TEXT}")
+    # A word and an end each.
+    assert 300 <= texts.count() <= 600
