@@ -3,7 +3,8 @@
 1. Equal vectors become one node, with the number of its rows.
 2. On a bounded sample a rotation is learned that makes the signs of the principal components as
    close to the components themselves as it can (iterative quantisation). Several rotations from different
-   starts give as many bits as the recall asks for.
+   starts give as many bits as the recall asks for. How often bits differ is measured on pairs at the
+   threshold, made from the sample: centring widens their angles, the more the stronger the mean is.
 3. A code is cut into substrings; each is the key of one hash table. Two vectors are candidates
    if a substring is equal and the whole codes' Hamming distance is small.
 4. Candidates are compared by their cosine in double precision. No pair leaves a bucket: a task returns
@@ -36,6 +37,9 @@ ITERATIONS = 50
 # A bucket's mean number of vectors decides the substrings' length, the recall aimed at for a
 # pair at the threshold decides how many substrings there are.
 BUCKET, RECALL = 256, 0.98
+# Sample vectors that pairs at the threshold are made of. From so many tables on, shorter substrings
+# (so larger buckets) are taken if they are less work; recall stays.
+PAIRS, MANY = 2_000, 64
 BLOCK = 512
 SEED = 7
 
@@ -51,23 +55,68 @@ class Codes:
         _, axes = np.linalg.eigh(centred.T @ centred)
         axes = axes[:, ::-1][:, :64]
         width = axes.shape[1]
-        # A bit differs with the angle's part of a half turn, for a random hyperplane.
-        differ = math.acos(cosine) / math.pi
-        length = min(max(4, math.ceil(math.log2(max(vectors, 1) / BUCKET))), 30)
-        equal = (1 - differ) ** length
-        self.tables = math.ceil(math.log(1 - RECALL) / math.log(1 - equal))
-        self.length = length
-        rotations = math.ceil(self.tables * length / width)
         draw = np.random.default_rng(SEED)
-        reduced = centred @ axes
-        self.planes = np.concatenate(
-            [axes @ self._rotation(reduced, draw) for _ in range(rotations)], axis=1
-        )[:, : self.tables * length]
+        pairs = self._pairs(sample, cosine)
+        # A bit differs with the angle's part of a half turn, for a random hyperplane through the mean.
+        differ = [self._angles((a - self.mean) @ axes, (b - self.mean) @ axes) / math.pi for a, b in pairs]
+        differ = differ or [np.array([math.acos(cosine) / math.pi])]
+        length = min(max(4, math.ceil(math.log2(max(vectors, 1) / BUCKET))), 30)
+        found = {length: self._needed(differ, length)}
+        if found[length] > MANY:
+            found |= {x: self._needed(differ, x) for x in range(length)}
+        # A row costs about as much as its comparison with a bucket.
+        length = min(found, key=lambda x: found[x] * (BUCKET + vectors / 2**x))
+        self.length, self.tables = length, found[length]
         bits = self.tables * length
+        reduced = centred @ axes
+        turns = [axes @ self._rotation(reduced, draw) for _ in range(math.ceil(bits / width))]
+        self.planes = np.concatenate([*turns, np.empty((dims, 0))], axis=1)[:, :bits]
         # Four standard deviations above the mean distance of a pair at the threshold.
-        self.radius = math.ceil(bits * differ + 4 * math.sqrt(bits * differ * (1 - differ)))
+        apart = [np.bitwise_count(self(a) ^ self(b)).sum(axis=1) for a, b in pairs]
+        apart = [math.ceil(x.mean() + 4 * x.std()) for x in apart]
+        least = bits * math.acos(cosine) / math.pi
+        least += 4 * math.sqrt(least * (1 - math.acos(cosine) / math.pi))
+        self.radius = max([math.ceil(least), *apart])
         self.dims = dims
 
+    @staticmethod
+    def _pairs(sample: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of unit vectors at the cosine: sample vectors, and the same turned towards
+        others of the sample, and towards anywhere."""
+        draw, out = np.random.default_rng(SEED + 1), []
+        a = sample[:PAIRS]
+        for side in (sample[draw.permutation(len(sample))[: len(a)]], draw.standard_normal(a.shape)):
+            side = side - (side * a).sum(axis=1, keepdims=True) * a
+            size = np.linalg.norm(side, axis=1, keepdims=True)
+            good = size[:, 0] > 1e-6
+            if good.any():
+                x = a[good]
+                out.append((x, cosine * x + math.sqrt(max(0, 1 - cosine**2)) * side[good] / size[good]))
+        return out
+
+    @staticmethod
+    def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Angles of rows; a right one for a row without a direction."""
+        size = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+        return np.arccos(np.clip((a * b).sum(axis=1) / np.maximum(size, 1e-300), -1, 1))
+
+    @staticmethod
+    def _needed(differ: list[np.ndarray], length: int) -> float:
+        """Tables that find ``RECALL`` of each kind of pairs, whose bits differ so often."""
+        most = 0
+        for kind in differ:
+            apart = 1 - (1 - kind) ** length  # chance that a table misses a pair
+            low, high = 0, 1
+            while (apart**high).mean() > 1 - RECALL:
+                low, high = high, 2 * high
+                if high > 1 << 40:
+                    return math.inf
+            while high - low > 1:
+                middle = (low + high) // 2
+                low, high = (middle, high) if (apart**middle).mean() > 1 - RECALL else (low, middle)
+            most = max(most, high)
+        return most
+
     @staticmethod
     def _rotation(data: np.ndarray, draw: np.random.Generator) -> np.ndarray:
         """Alternate between the nearest binary codes and the nearest rotation to them."""
@@ -80,8 +129,13 @@ class Codes:
         return turn
 
     def __call__(self, units: np.ndarray) -> np.ndarray:
-        bits = ((units - self.mean) @ self.planes >= 0).reshape(len(units), self.tables, self.length)
-        return (bits << np.arange(self.length, dtype=np.int64)).sum(axis=2).astype(np.uint32)
+        out = np.empty((len(units), self.tables), np.uint32)
+        powers = 2.0 ** np.arange(self.length)
+        step = max(1, (1 << 22) // max(1, self.tables * self.length))
+        for at in range(0, len(units), step):
+            bits = (units[at : at + step] - self.mean) @ self.planes >= 0
+            out[at : at + step] = bits.reshape(len(bits), self.tables, self.length) @ powers
+        return out
 
 
 def _vectors(dtype: str):

@@ -98,3 +98,41 @@ def test_codes_are_balanced():
     codes = Codes(units, 100_000)
     ones = ((units - codes.mean) @ codes.planes >= 0).mean(axis=0)
     assert (np.abs(ones - 0.5) < 0.1).all()
+
+
+def strong_mean(draw, n, mean, dims=64):
+    """Unit vectors whose mean has about this norm, and vectors at cosine 0.905 of them."""
+    side = draw.standard_normal((n, dims))
+    side[:, 0] = 0
+    a = math.sqrt(1 - mean**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    a[:, 0] = mean
+    side = draw.standard_normal((n, dims))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return a, 0.905 * a + math.sqrt(1 - 0.905**2) * side
+
+
+@pytest.mark.parametrize("mean", [0.7, 0.85])
+def test_recall_with_a_strong_mean(mean):
+    a, b = strong_mean(np.random.default_rng(4), 2000, mean)
+    for vectors in (51_282, 5_000_000):
+        codes = Codes(a, vectors)
+        x, y = codes(a), codes(b)
+        apart = np.bitwise_count(x ^ y).sum(axis=1)
+        assert ((x == y).any(axis=1) & (apart <= codes.radius)).mean() >= 0.95
+
+
+def test_strong_mean_against_brute_force(spark):
+    a, b = strong_mean(np.random.default_rng(5), 400, 0.85)
+    rows = [(i, list(v)) for i, v in enumerate(np.concatenate([a, b]))]
+    got = link_vectors(frame(spark, rows), Scratch(spark)).collect()
+    want = sum(links for _, links, _ in brute(rows))
+    assert want >= 800 and 0.97 * want <= sum(r.n_links for r in got) <= want
+
+
+def test_mean_near_the_threshold_still_gives_an_index():
+    """Nearly all pairs are links: short substrings, not endless tables."""
+    a, b = strong_mean(np.random.default_rng(6), 500, 0.97)
+    codes = Codes(a, 5_000_000)
+    assert codes.tables <= 2000
+    assert (codes(a) == codes(b)).any(axis=1).mean() >= 0.95
