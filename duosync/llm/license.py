@@ -4,7 +4,8 @@
    without quotes, comment marks and final punctuation.
 2. Known licence sentences stand in a tree of words, in which some places take any version, year
    or name. From the start of each unit the longest sentence that ends with a unit is
-   taken, so a sentence may run over several lines. It becomes an identifier, with its version.
+   taken, so a sentence may run over several lines. It becomes an identifier, with its version. A
+   name at a sentence's end goes no further than its own unit, nor over a known sentence.
 3. The identifiers, in order, are matched against the rules, also in order: a rule is a sequence
    of identifiers. Identifiers that a rule used are not used again; unknown sentences between
    them don't matter, unless there are more than ``GAP`` words of them.
@@ -15,6 +16,7 @@ Texts go through one pass without a shuffle; the sentences and rules travel with
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,11 +27,11 @@ from pyspark.sql import functions as F
 GAP = 60
 
 # Sentences of well-known licences and notices. <v> takes a version, <y> years, <*> up to
-# eight words; (a|b) are alternatives. Several texts may have one identifier.
+# eight words, <l> a licence expression to the end of its unit; (a|b) are alternatives. Several texts may have one identifier.
 SENTENCES: list[tuple[str, str]] = [
     ("copyright", "copyright <*>"),
     ("all-rights", "all rights reserved"),
-    ("spdx", "spdx-license-identifier: <*>"),
+    ("spdx", "spdx-license-identifier: <l>"),
     (
         "mit-grant",
         "permission is hereby granted, free of charge, to any person obtaining a copy of this software"
@@ -153,8 +155,9 @@ NAMES: list[tuple[str, str]] = [
 ]
 
 # A licence, and the sentences that state it. Earlier rules go first; <v> is the
-# version that one of the sentences names.
+# version that one of the sentences names, <l> every licence of an expression.
 RULES: list[tuple[str, list[str]]] = [
+    ("<l>", ["spdx"]),
     ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-names"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
@@ -171,6 +174,25 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC-<v>", ["cc-grant"]),
 ]
 
+# Identifiers in their own spelling; the GNU ones as the rules above name them.
+SPDX = {
+    x.lower(): x
+    for x in (
+        "0BSD AFL-3.0 Apache-1.0 Apache-1.1 Apache-2.0 Artistic-1.0 Artistic-2.0 BlueOak-1.0.0 BSD-1-Clause"
+        " BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 CC-BY-1.0"
+        " CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-4.0 CC-BY-SA-1.0 CC-BY-SA-2.0 CC-BY-SA-2.5 CC-BY-SA-3.0"
+        " CC-BY-SA-4.0 CC-BY-NC-2.0 CC-BY-NC-2.5 CC-BY-NC-3.0 CC-BY-NC-4.0 CC-BY-ND-3.0 CC-BY-ND-4.0"
+        " CC-BY-NC-SA-2.0 CC-BY-NC-SA-2.5 CC-BY-NC-SA-3.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-3.0 CC-BY-NC-ND-4.0"
+        " CC0-1.0 CDDL-1.0 CDDL-1.1 CECILL-2.1 CPL-1.0 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1 EUPL-1.2 IJG IPL-1.0"
+        " ISC JSON Libpng LPPL-1.3c MIT MIT-0 MPL-1.0 MPL-1.1 MPL-2.0 MPL-2.0-no-copyleft-exception MS-PL MS-RL"
+        " MulanPSL-2.0 NCSA OFL-1.1 OpenSSL OSL-3.0 PHP-3.01 PostgreSQL PSF-2.0 Python-2.0 QPL-1.0 Ruby"
+        " Unicode-DFS-2016 Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib ZPL-2.1"
+    ).split()
+}
+_GNU = re.compile(r"([al]?gpl)-(\d+(?:\.\d+)*?)(?:\.0)?(\+|-or-later|-only)?\Z")
+_ID = re.compile(r"[a-z0-9][a-z0-9.:-]*\+?\Z")
+_SPDX = re.compile(r"spdx-licen[cs]e-identifier:")
+
 _UNIT = re.compile(r"[\n\r\x0b\x0c]+|(?<=[.!?;:])\s+")
 _WORD = re.compile(r"[^\s\"'`*#()\[\]{}<>|“”‘’«»]+")
 _VERSION = re.compile(r"v?\d+(?:\.\d+)*\Z")
@@ -193,17 +215,44 @@ def _expand(pattern: str) -> list[list[str]]:
     for piece in re.split(r"(\([^()]*\|[^()]*\))", pattern):
         options = piece[1:-1].split("|") if piece.startswith("(") and "|" in piece else [piece]
         out = [a + b for a in out for b in options]
-    marked = [re.sub(r"<([vy*])>", r" \\\1 ", x) for x in out]
+    marked = [re.sub(r"<([vy*l])>", r" \\\1 ", x) for x in out]
     return [["<" + w[1] + ">" if w[:1] == "\\" else w for w in _marked_words(x)] for x in marked]
 
 
 def _marked_words(text: str) -> list[str]:
     words: list[str] = []
     for part in text.split():
-        words += [part] if part in ("\\v", "\\y", "\\*") else words_of(part)
+        words += [part] if part in ("\\v", "\\y", "\\*", "\\l") else words_of(part)
     return words
 
 
+def expression(words: str) -> list[str]:
+    """The licences of a lower-case SPDX expression, each once; none if it is something else.
+
+    An exception stays with its licence. Identifiers that aren't known stay in lower case.
+    """
+    out: list[str] = []
+    words, after = words.split(), "or"
+    for word in words:
+        if after in ("and", "or", "with"):
+            if word in ("and", "or", "with") or not _ID.match(word):
+                return []
+            if after == "with":
+                out[-1] += f" WITH {word}"
+            elif gnu := _GNU.match(word):
+                later = "+" if gnu[3] in ("+", "-or-later") else ""
+                out.append(f"{gnu[1].upper()}-{gnu[2]}{later}")
+            else:
+                name = SPDX.get(word.rstrip("+"))
+                out.append(name + word[len(name) :] if name else word)
+        elif word not in ("and", "or", "with") or (word == "with" and " WITH " in out[-1]):
+            return []
+        after = word if after not in ("and", "or", "with") else ""
+    if after or out[:1] in (["none"], ["noassertion"]):
+        return []
+    return list(dict.fromkeys(out))
+
+
 class Sentences:
     """The tree of known sentences, and the rules in order."""
 
@@ -226,23 +275,32 @@ class Sentences:
                 node = node.setdefault(word, {})
             node.setdefault("", name)
 
-    def _match(self, words: list[str], at: int, ends: set[int]) -> tuple[int, str, str] | None:
+    def _match(
+        self, words: list[str], at: int, starts: set[int], ends: list[int]
+    ) -> tuple[int, str, str] | None:
         """The longest sentence from word ``at`` that ends with a unit: (end, name, version)."""
         best = None
-        todo = [(self.tree, at, "")]
+        # Behind any words a sentence has one place to end; 0 elsewhere.
+        todo = [(self.tree, at, "", 0)]
         while todo:
-            node, i, version = todo.pop()
-            if "" in node and i in ends and (best is None or i > best[0]):
-                best = (i, node[""], version)
-            if "<*>" in node:
-                for n in range(1, WILD + 1):
-                    if i + n <= len(words):
-                        todo.append((node["<*>"], i + n, version))
-            if i < len(words):
-                if words[i] in node:
-                    todo.append((node[words[i]], i + 1, version))
-                if "<v>" in node and _VERSION.match(words[i]):
-                    todo.append((node["<v>"], i + 1, words[i].lstrip("v")))
+            node, i, version, end = todo.pop()
+            if "" in node and (best is None or i > best[0]):
+                if i == end or (not end and (i in starts or i == len(words))):
+                    best = (i, node[""], version)
+            if i == len(words):
+                continue
+            if "<*>" in node or "<l>" in node:
+                end = ends[bisect_right(ends, i)]
+                if i in starts and self._match(words, i, starts, ends):
+                    end = -1
+                for n in range(1, min(WILD, len(words) - i) + 1 if "<*>" in node else 0):
+                    todo.append((node["<*>"], i + n, version, end))
+                if "<l>" in node and end > 0:
+                    todo.append((node["<l>"], end, " ".join(words[i:end]), end))
+            if words[i] in node:
+                todo.append((node[words[i]], i + 1, version, 0))
+            if "<v>" in node and _VERSION.match(words[i]):
+                todo.append((node["<v>"], i + 1, words[i].lstrip("v"), 0))
         return best
 
     def sentences(self, text: str) -> list[tuple[str, str, int, int]]:
@@ -250,16 +308,16 @@ class Sentences:
         text = text.lower()
         if not _HINT.search(text):
             return []
-        words, starts, ends = [], [], set()
-        for unit in _UNIT.split(text):
+        words, starts = [], []
+        for unit in _UNIT.split(_SPDX.sub("spdx-license-identifier: ", text)):
             own = words_of(unit)
             if own:
                 starts.append(len(words))
                 words += own
-                ends.add(len(words))
+        opening, ends = set(starts), [*starts[1:], len(words)]
         out, free = [], 0
         for at in starts:
-            if at >= free and (found := self._match(words, at, ends)):
+            if at >= free and (found := self._match(words, at, opening, ends)):
                 free, name, version = found
                 out.append((name, version, at, free))
         return out
@@ -273,8 +331,13 @@ class Sentences:
                 match = self._sequence(left, at, names)
                 if match:
                     version = next((left[i][1] for i in match if left[i][1]), "")
-                    name = licence.replace("<v>", version) if version else licence.replace("-<v>", "")
-                    out.append((name, left[match[0]][2]))
+                    if licence == "<l>":
+                        names_found = expression(version)
+                    elif version:
+                        names_found = [licence.replace("<v>", version)]
+                    else:
+                        names_found = [licence.replace("-<v>", "")]
+                    out += [(name, left[match[0]][2]) for name in names_found]
                     left = [x for i, x in enumerate(left) if i not in match]
                 else:
                     at += 1

@@ -112,3 +112,33 @@ def test_given_documents(spark):
         assert set(filter(None, r.licences.split(", "))) == want, texts[r.doc_id][:300]
         found += bool(want)
     assert found > 50
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Copyright 2020 Jane Doe. Licensed under the MIT License.", ["MIT"]),
+        ("Copyright 2020 Jane Doe\nLicensed under the MIT License.", ["MIT"]),
+        ("Copyright 2020 J. R. Doe. All rights reserved.\nReleased under the GPL.", ["GPL"]),
+        ("Copyright\nLicensed under the MIT License", ["MIT"]),
+        ("// SPDX-License-Identifier: MIT", ["MIT"]),
+        ("/* spdx-license-identifier:BSD-3-Clause */\nint main;", ["BSD-3-Clause"]),
+        ("SPDX-License-Identifier: MIT\nLicensed under the Apache License, Version 2.0.", ["MIT", "Apache-2.0"]),
+        ("# SPDX-License-Identifier: (GPL-2.0-or-later OR LGPL-2.1-only) AND CC0-1.0", ["GPL-2+", "LGPL-2.1", "CC0-1.0"]),
+        ("SPDX-License-Identifier: GPL-3.0-only WITH Classpath-exception-2.0", ["GPL-3 WITH classpath-exception-2.0"]),
+        ("SPDX-License-Identifier: " + " OR ".join(["MIT", "ISC", "Zlib", "X11", "Ruby", "Vim"]), ["MIT", "ISC", "Zlib", "X11", "Ruby", "Vim"]),
+        ("SPDX-License-Identifier: LicenseRef-Mine", ["licenseref-mine"]),
+        ("SPDX-License-Identifier: see the file", []),
+        ("SPDX-License-Identifier: NOASSERTION", []),
+        ("SPDX-License-Identifier: MIT OR", []),
+    ],
+)
+def test_names_end_with_their_unit(text, want):
+    assert licences(text) == want
+
+
+def test_copyright_takes_its_own_unit():
+    found = KNOWN.sentences("Copyright 2020 Jane Doe. All rights reserved. Released under the MIT License.")
+    assert [n for n, *_ in found] == ["copyright", "all-rights", "statement MIT"]
+    over_lines = "You may obtain a copy of the License at\n\n  http://www.apache.org/licenses/LICENSE-2.0\n\nUnless so"
+    assert [n for n, *_ in KNOWN.sentences(over_lines)] == ["apache-copy"]
