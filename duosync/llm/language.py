@@ -4,9 +4,12 @@
                          * P(declared | language) * P(suffix | language)
 
 * The text's likelihood comes from byte trigrams in ``BUCKETS`` classes, learned from a bounded sample of
-  labelled texts. Trigrams overlap, so the exponent t counts them as less than independent.
+  each language's labelled texts. Trigrams overlap, so the exponent t counts them as less than independent.
 * The host's prior is smoothed hierarchically: a host leans on its domain, a domain on all pages,
   the more so the fewer pages it has.
+* A declared language without labelled texts is a candidate for the pages that declare it. All such languages
+  share one class, with priors and tables like the others; its texts are half like all known languages
+  together and half like anything.
 * How far a declared language and an address suffix may be trusted is learned, too.
 
 Priors and tables count the languages that the text alone gives, by grouped sums that are built up
@@ -22,15 +25,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duosync.llm.common import Scratch
 
 BUCKETS = 1 << 16
-# Labelled texts the likelihoods are learned from, about, and languages told apart, at most.
-SAMPLE = 4_000
-LANGUAGES = 64
+# Labelled texts that each language's likelihoods are learned from, about.
+SAMPLE = 1_000
+# Languages whose counts a task holds at a time.
+HELD = 64
+# Label of declared languages that have no likelihood of their own.
+OTHER = ""
 # Pages that a parent's prior counts for, and a table's weight for what it hasn't seen.
 STRENGTH, SMOOTH = 20.0, 1.0
 TEMPER = 0.1
@@ -86,13 +93,25 @@ class Likelihoods:
 
     def __init__(self, counts: dict[str, np.ndarray]):
         self.languages = sorted(counts)
+        self.lower = frozenset(x.lower() for x in counts)
         table = np.array([counts[x] for x in self.languages], float).reshape(-1, BUCKETS) + 0.05
-        self.table = np.log(table / table.sum(axis=1, keepdims=True)).T.astype(np.float32)
+        table /= table.sum(axis=1, keepdims=True)
+        any_known = table.sum(axis=0, keepdims=True) / max(len(table), 1)
+        table = np.concatenate([table, 0.5 * any_known + 0.5 / BUCKETS])
+        self.table = np.log(table).T.astype(np.float32, order="C")
+
+    def foreign(self, declared: str) -> bool:
+        """Whether this is a language without a likelihood of its own."""
+        return declared != "" and declared.lower() not in self.lower
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Tempered log likelihood by language; flat if there is nothing to go by."""
+        return self.with_other(text)[:-1]
+
+    def with_other(self, text: str | None) -> np.ndarray:
+        """The same, and at the end that of a language that isn't known."""
         found = trigrams(text) if text else ()
-        total = np.zeros(len(self.languages))
+        total = np.zeros(len(self.languages) + 1)
         for part in range(0, len(found), 1 << 16):
             total += self.table[found[part : part + (1 << 16)]].sum(axis=0, dtype=np.float64)
         return TEMPER * total
@@ -107,37 +126,55 @@ def posterior(*logs: np.ndarray) -> np.ndarray:
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
+
+    def flush() -> pa.RecordBatch:
+        packed = [_packed(own) for own in counts.values()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(counts, pa.string()), pa.array(packed, pa.binary())], ["label", "counts"]
+        )
+
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if label not in counts and len(counts) >= HELD:
+                yield flush()
+                counts = {}
             own = counts.setdefault(label, np.zeros(BUCKETS, np.int64))
             own += np.bincount(trigrams(text.as_py()), minlength=BUCKETS)
-    for label, own in counts.items():
-        used = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([label] * len(used), pa.string()), pa.array(used), pa.array(own[used])],
-            ["label", "bucket", "n"],
-        )
+    if counts:
+        yield flush()
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype(np.int64).tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.int64)
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """A label's counts of all tasks in one row."""
+    total = np.zeros(BUCKETS, np.int64)
+    for raw in table.column("counts"):
+        total += _unpacked(raw.as_py())
+    return pa.table({"label": table.column("label").slice(0, 1), "counts": [_packed(total)]})
 
 
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> Likelihoods:
-    """Likelihoods from about ``sample`` rows of (doc_id, label, text), the same ones each time.
+    """Likelihoods from about ``sample`` rows a label of (doc_id, label, text), the same ones each time.
 
-    Rows are drawn by a hash at the rate that gives so many. Null and empty labels and texts are
-    left out; the ``LANGUAGES`` most frequent labels count.
+    Rows are drawn by a hash at the rate that gives so many, and the first of each label. Null and empty
+    labels and texts are left out; every label counts.
     """
     known = labelled.select("doc_id", "label", "text").filter("label > '' AND length(text) > 0")
-    rate = min(1.0, sample / max(known.count(), 1))
-    hashed = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1
-    drawn = known.filter(hashed).select("label", "text")
-    rows = drawn.mapInArrow(_learn, "label string, bucket long, n long")
-    sums = rows.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    size = sums.groupby("label")["n"].sum().sort_values(ascending=False, kind="stable")
-    counts = {}
-    for label in size.index[:LANGUAGES]:
-        own = sums[sums["label"] == label]
-        counts[label] = np.zeros(BUCKETS)
-        counts[label][own["bucket"].to_numpy()] = own["n"].to_numpy()
-    return Likelihoods(counts)
+    known = known.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30))
+    sizes = known.groupBy("label").agg((sample / F.count("*")).alias("rate"), F.min("draw").alias("first"))
+    # As few rows as the model has languages.
+    drawn = known.join(F.broadcast(sizes), "label").filter("draw < rate OR draw = first")
+    counts = "label string, counts binary"
+    rows = drawn.select("label", "text").mapInArrow(_learn, counts)
+    sums = rows.groupBy("label").applyInArrow(_summed, counts).collect()
+    return Likelihoods({r.label: _unpacked(r.counts) for r in sums})
 
 
 EVIDENCE = ["_text", "_declared", "_suffix", "_domain", "_host"]
@@ -154,7 +191,10 @@ def _labels(model):
             for value, *key in zip(text, *(k.to_pylist() for k in keys), strict=True):
                 value = value.as_py()
                 if value and letters(value) >= LEAST_LETTERS:
-                    label = likelihoods.languages[int(np.argmax(likelihoods(value)))]
+                    likely = likelihoods.with_other(value)
+                    if not likelihoods.foreign(key[0]):
+                        likely = likely[:-1]
+                    label = [*likelihoods.languages, OTHER][int(np.argmax(likely))]
                     counts[(*key[::-1], label)] += 1
             if counts:
                 rows = [(*k, n) for k, n in counts.items()]
@@ -214,15 +254,17 @@ def _decide(model, base: list[float], kept: list[str]):
         likelihoods = model.value
         names = likelihoods.languages
         for batch in batches:
-            columns = ("_text", "_host_log", "_declared_log", "_suffix_log")
+            columns = ("_text", "_declared", "_host_log", "_declared_log", "_suffix_log")
             found, probability = [], []
-            for text, host, *others in zip(*(batch.column(c) for c in columns), strict=True):
-                text, host = text.as_py(), host.as_py()
-                logs = [np.array(o.as_py()) for o in others if o.is_valid]
+            for text, declared, host, *others in zip(*(batch.column(c) for c in columns), strict=True):
+                text, declared, host = text.as_py(), declared.as_py(), host.as_py()
                 best, chance = None, 0.0
                 if names and text and letters(text) >= LEAST_LETTERS:
-                    p = posterior(np.array(host or base), likelihoods(text), *logs)
-                    best, chance = names[int(np.argmax(p))], float(p.max())
+                    size = len(names) + likelihoods.foreign(declared)
+                    logs = [host or base, *(o.as_py() for o in others if o.is_valid)]
+                    logs = [np.array(x[:size]) for x in logs]
+                    p = posterior(likelihoods.with_other(text)[:size], *logs)
+                    best, chance = [*names, declared][int(np.argmax(p))], float(p.max())
                 found.append(best if chance >= LEAST_PROBABILITY else None)
                 probability.append(chance)
             own = [batch.column(c) for c in kept]
@@ -250,7 +292,9 @@ def identify(rows: DataFrame, model: Likelihoods, scratch: Scratch) -> DataFrame
         counted = rows.select(EVIDENCE).mapInArrow(_labels(sent), fields)
         counted = counted.groupBy("host", "domain", "suffix", "declared", "label").agg(F.sum("n").alias("n"))
         counts = scratch(counted)
-        base, evidence = tables(counts, model.languages)
+        foreign = (F.col("declared") != "") & ~F.lower("declared").isin(*sorted(model.lower))
+        other = [OTHER] if counts.filter(foreign).limit(1).count() else []
+        base, evidence = tables(counts, [*model.languages, *other])
     else:
         base, evidence = [], {}
     joined = rows
@@ -265,7 +309,7 @@ def identify(rows: DataFrame, model: Likelihoods, scratch: Scratch) -> DataFrame
         side = F.broadcast(side) if (size or 0) <= BROADCAST_BYTES else side
         joined = joined.join(side, [f"_{c}" for c in on], "left")
     schema = rows.select(kept).schema.add("language", "string").add("probability", "double")
-    columns = [*kept, "_text", "_host_log", "_declared_log", "_suffix_log"]
+    columns = [*kept, "_text", "_declared", "_host_log", "_declared_log", "_suffix_log"]
     return joined.select(columns).mapInArrow(_decide(sent, base, kept), schema)
 
 

@@ -131,3 +131,28 @@ def test_language_stage_keeps_columns(spark):
     assert got.columns == docs.columns
     assert sorted(r.doc_id for r in got.collect()) == list(range(5))
     assert corpus_pipeline.language(spark, docs.filter("false"), SF).count() == 0
+
+
+def test_every_label_is_a_language(spark):
+    """70 languages of which most have one text among thousands."""
+    rows = [(i, "en", f"the rest of text {i}") for i in range(3000)]
+    rows += [(9000 + i, f"l{i:02}", chr(0x4E00 + i) * 9) for i in range(70)]
+    rows += [(None, "same", "same")] * 300
+    labelled = spark.createDataFrame(rows, "doc_id long, label string, text string").repartition(3)
+    model = learn(labelled, 50)
+    assert model.languages == sorted({r[1] for r in rows})
+    assert model.languages[int(np.argmax(model(chr(0x4E00 + 33) * 5)))] == "l33"
+
+
+def test_declared_language_without_likelihood_is_a_candidate(spark, model):
+    greek = "<html lang=el><p>\u03ba\u03b1\u03bb\u03b7\u03bc\u03ad\u03c1\u03b1 \u03ba\u03cc\u03c3\u03bc\u03b5 " * 4
+    given = table(spark, SF, "pages").limit(60).collect()
+    rows = [(1, "http://a.gr/", greek), (2, "http://b.gr/", greek)]
+    # A known language's text that says that it is in another one; a text that says nothing.
+    long = max(given, key=lambda r: len(visible(r.html)))
+    rows += [(3, "http://c.org/", f"<html lang=xx><p>{visible(long.html)}"), (4, "http://d.org", greek.replace("lang=el", ""))]
+    rows += [(100 + r.page_id, r.url, r.html) for r in given]
+    got = {r.page_id: r for r in identify_pages(frame(spark, rows), model, Scratch(spark)).collect()}
+    assert got[1].language == got[2].language == "el"
+    assert got[3].language == got[100 + long.page_id].language in model.languages
+    assert got[4].language in (None, *model.languages)
