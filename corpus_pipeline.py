@@ -25,15 +25,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id.
+    """One row of each group of near-duplicates: the one with the smallest id, null ids last.
 
-    Of rows that share an id one stays. Rows without an id stay, but equal ones once.
+    Every row is a document of its own, whatever its id: copies with null or shared ids are found
+    like others, and unlike texts with one id all stay, as does every row without words.
     """
-    found = near_duplicates(docs, Scratch(spark))
-    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    nameless = docs.filter("doc_id IS NULL").dropDuplicates(["text"])
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+    scratch, row = Scratch(spark), "_row"
+    while row in docs.columns:
+        row += "_"
+    keyed = scratch(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), Scratch(spark))
+    first = (
+        found.select(F.col("doc_id").alias(row), "component_id")
+        .join(keyed.select(row, "doc_id"), row)
+        .groupBy("component_id")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).getField(row).alias(row))
+    )
+    return keyed.join(first.select(row), row, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,19 @@ def test_empty(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = scratch(stage(spark, docs, SF))
         assert docs.count() == 0
+
+
+def test_rows_with_null_and_shared_ids(spark):
+    other = "a wholly unlike text about ships, harbours, winds, sails and the long way home over the sea"
+    third = "nobody gave this third one a number, though it also has words enough for many shingles in it"
+    rows = [
+        (5, LONG, 1), (None, LONG, 2), (None, LONG + " then", 3),  # copies of a named document
+        (7, other, 4), (7, third, 5), (7, other, 6),  # one id, two texts
+        (None, third + " indeed", 7),
+        (9, None, 8), (None, None, 9),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int").repartition(3)
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = sorted((str(r.doc_id), str(r.text)) for r in got.collect())
+    assert kept == sorted([("5", LONG), ("7", other), ("7", third), ("9", "None"), ("None", "None")])
