@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duosync.llm.align import align_documents
 from duosync.llm.common import Scratch, table
 from duosync.llm.fm_index import hits, scan
 from duosync.llm.itq import link_vectors
@@ -17,6 +18,7 @@ from duosync.llm.minhash import near_duplicates
 from duosync.llm.pack import pack
 from duosync.llm.shard import shard_documents
 from duosync.llm.styletree import extract
+from duosync.llm.token_count import count_tokens
 from duosync.llm.warc import archive_pages
 
 SHARDS = 24
@@ -77,6 +79,15 @@ def op10_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"), Scratch(spark))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return align_documents(table(spark, sf_dir, "documents"), Scratch(spark), a, b)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 # Components by repeated steps along links ``link(u, v)``, both ways, of ``node(id)``.
 _REACH = """
 reach(id, root) AS (
@@ -101,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rendezvous": op8_rendezvous,
     "op9_license": op9_license,
     "op10_style_tree": op10_style_tree,
+    "op11_alignment": op11_alignment,
+    "op13_token_counts": op13_token_counts,
 }
 
 SQL: dict[str, str] = {

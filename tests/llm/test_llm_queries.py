@@ -26,7 +26,7 @@ def test_query(spark, con, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert corpus_pipeline.ORACLE_SQL is None
     assert [name for name, _ in corpus_pipeline.STAGES] == [
