@@ -20,6 +20,7 @@ from duosync.llm.shard import shard_documents
 from duosync.llm.styletree import extract
 from duosync.llm.token_count import count_tokens
 from duosync.llm.warc import archive_pages
+from duosync.llm.whiten import whiten_vectors
 
 SHARDS = 24
 
@@ -84,6 +85,12 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(table(spark, sf_dir, "documents"), Scratch(spark), a, b)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten_vectors(table(spark, sf_dir, "embeddings"), Scratch(spark))
+    # Null beyond the range of a long, which takes millions of vectors.
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -113,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license": op9_license,
     "op10_style_tree": op10_style_tree,
     "op11_alignment": op11_alignment,
+    "op12_whitening": op12_whitening,
     "op13_token_counts": op13_token_counts,
 }
 
