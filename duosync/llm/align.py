@@ -24,6 +24,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
+from operator import eq
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,9 @@ OFTEN = 200_000
 # Chunks a worker remembers, and the longest one; about 500 bytes each.
 REMEMBERED = 150_000
 LONGEST = 48
-# Characters whose chunks are looked up together.
+# Characters whose chunks are looked up together, and chunks that are aligned together.
 BATCH_CHARS = 1 << 21
+MERGED = 20_000
 
 ALIGNED = (
     "text_no long, key binary, times long, n_a long, n_b long, n_groups long, n_links long,"
@@ -50,28 +53,18 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"  # sentencepiece's space
 
 
-class Chunk:
-    """A chunk's tokens and links."""
+class Chunk(NamedTuple):
+    """A chunk's tokens, groups and links; none if its bytes don't come back."""
 
-    __slots__ = ("exact", "n_a", "n_b", "n_groups", "pairs", "groups")
+    exact: bool
+    n_a: int
+    n_b: int
+    n_groups: int
+    pairs: tuple[int, ...]
+    groups: str
 
-    def __init__(self, exact: bool, a: list[int], b: list[int], ends_a, ends_b):
-        self.exact, self.n_a, self.n_b = exact, len(a), len(b)
-        self.n_groups, self.pairs, self.groups = 0, (), b""
-        if not exact:
-            return
-        common = np.intersect1d(ends_a, ends_b)
-        ends = np.union1d(ends_a, ends_b)
-        # The tokens whose bytes hold a segment's last one.
-        in_a = np.array(a, np.int64)[np.searchsorted(ends_a, ends)]
-        in_b = np.array(b, np.int64)[np.searchsorted(ends_b, ends)]
-        self.n_groups, self.pairs = len(common), tuple((in_a << 32 | in_b).tolist())
-        to_a = [0, *(np.searchsorted(ends_a, common) + 1).tolist()]
-        to_b = [0, *(np.searchsorted(ends_b, common) + 1).tolist()]
-        self.groups = ";".join(
-            ",".join(map(str, a[to_a[g] : to_a[g + 1]])) + "|" + ",".join(map(str, b[to_b[g] : to_b[g + 1]]))
-            for g in range(len(common))
-        ).encode()
+
+INEXACT = Chunk(False, 0, 0, 0, (), "")
 
 
 class Aligner:
@@ -92,6 +85,11 @@ class Aligner:
         self.byte_of = {chr(c): c for c in plain} | {chr(256 + i): c for i, c in enumerate(other)}
         self.a_bytes = {i: self._level(t) for t, i in self.a.get_vocab().items()}
         self.b_bytes = [self._piece(i) for i in range(len(self.b))]
+        top = max(self.a_bytes) + 1
+        self.a_length = np.array([len(self.a_bytes.get(i, b"")) for i in range(top)])
+        self.b_length = np.array([len(p) for p in self.b_bytes])
+        self.digits = [f"{i}{mark}" for mark in ",|" for i in range(top)]
+        self.digits += [f"{i}{mark}" for mark in ",;\n" for i in range(len(self.b))]
         before = json.loads(self.a.to_str())["pre_tokenizer"] or {}
         level = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
         inner = any(_SPACE in self.b.id_to_piece(i).lstrip(_SPACE) for i in range(len(self.b)))
@@ -109,29 +107,65 @@ class Aligner:
             return bytes([int(piece[1:-1], 16)])
         return piece.replace(_SPACE, " ").encode()
 
-    def _align(self, chunks: list[str]) -> Iterator[Chunk]:
+    def _align(self, chunks: list[str]) -> list[Chunk]:
         first = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
         second = self.b.encode(chunks, num_threads=1)
-        for chunk, encoded, b in zip(chunks, first, second, strict=True):
-            a = encoded.ids
-            whole = (" " + chunk).encode()
-            a_parts = [self.a_bytes[i] for i in a]
-            b_parts = [self.b_bytes[i] for i in b]
-            exact = b"".join(a_parts) == whole == b"".join(b_parts)
-            ends = [np.cumsum([len(p) for p in parts], dtype=np.int64) for parts in (a_parts, b_parts)]
-            yield Chunk(exact, a, b, *ends)
+        ids = [([e.ids for e in first], self.a_bytes), (second, self.b_bytes)]
+        exact = np.ones(len(chunks), bool)
+        wholes = [(" " + c).encode() for c in chunks]
+        for each, known in ids:
+            back = [b"".join(map(known.__getitem__, of)) for of in each]
+            exact &= np.fromiter(map(eq, back, wholes), bool, len(chunks))
+        good = np.flatnonzero(exact).tolist()
+        out = [INEXACT] * len(chunks)
+        if good:
+            a, b = ([each[k] for k in good] for each, _ in ids)
+            for k, chunk in zip(good, self._merge(a, b), strict=True):
+                out[k] = chunk
+        return out
+
+    def _merge(self, a: list[list[int]], b: list[list[int]]) -> Iterator[Chunk]:
+        """Align the tokens of many chunks, laid end to end: each chunk's end is common to both."""
+        n_a, n_b = ([len(of) for of in side] for side in (a, b))
+        a, b = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
+        ends_a, ends_b = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        chunk_ends = ends_a[np.cumsum(n_a) - 1]
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        ends = np.union1d(ends_a, ends_b)
+        pairs = (a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]).tolist()
+        last = (np.searchsorted(ends, chunk_ends) + 1).tolist()
+        n_groups = np.diff(np.searchsorted(common, chunk_ends) + 1, prepend=0).tolist()
+        # Each id's digits with what follows them; a group's A ids come before its B ids.
+        closes_a, closes_b = np.isin(ends_a, common), np.isin(ends_b, common)
+        after_b = closes_b.astype(np.int64) + np.isin(ends_b, chunk_ends)
+        size_a, size_b = len(self.a_length), len(self.b_length)
+        written = np.empty(len(a) + len(b), np.int64)
+        groups_before = np.cumsum(closes_a) - closes_a
+        b_before = np.concatenate([[0], np.flatnonzero(closes_b) + 1])[groups_before]
+        written[np.arange(len(a)) + b_before] = a + size_a * closes_a
+        groups_before = np.cumsum(closes_b) - closes_b
+        a_upto = (np.flatnonzero(closes_a) + 1)[groups_before]
+        written[np.arange(len(b)) + a_upto] = 2 * size_a + b + size_b * after_b
+        groups = "".join(map(self.digits.__getitem__, written.tolist())).split("\n")
+        # Every chunk's text ends with the separator, so an empty string follows the last one.
+        for k, start in enumerate([0, *last[:-1]]):
+            yield Chunk(True, n_a[k], n_b[k], n_groups[k], tuple(pairs[start : last[k]]), groups[k])
 
     def chunks(self, texts: list[str]) -> list[list[Chunk]]:
         """Each text's chunks, in order; an empty text has none."""
         cut = [(_CUT.split(t) if self.splits else [t]) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
+        seen = Counter(chain.from_iterable(cut))
+        known = {c: self.known[c] for c in seen if c in self.known}
+        fresh = [c for c in seen if c not in known]
+        for start in range(0, len(fresh), MERGED):
+            part = fresh[start : start + MERGED]
+            known.update(zip(part, self._align(part), strict=True))
+        # Words that stand here once are hardly met again.
+        often = {c: known[c] for c in fresh if seen[c] > 1 and len(c) <= LONGEST}
+        if len(self.known) + len(often) > REMEMBERED:
             self.known.clear()
-        missing = {c for text in cut for c in text if c not in self.known}
-        fresh = list(missing)
-        found = dict(zip(fresh, self._align(fresh), strict=True)) if fresh else {}
-        self.known.update((c, v) for c, v in found.items() if len(c) <= LONGEST)
-        known = self.known | found if any(len(c) > LONGEST for c in fresh) else self.known
-        return [[known[c] for c in text] for text in cut]
+        self.known.update(often)
+        return [list(map(known.__getitem__, text)) for text in cut]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -154,7 +188,7 @@ def _row(chunks: list[Chunk]) -> tuple:
         sum(c.n_b for c in chunks),
         sum(c.n_groups for c in chunks),
         counts.total(),
-        hashlib.sha256(b";".join([c.groups for c in chunks])).hexdigest(),
+        hashlib.sha256(";".join([c.groups for c in chunks]).encode()).hexdigest(),
         list(counts.keys()),
         list(counts.values()),
     )

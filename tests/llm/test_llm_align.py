@@ -115,7 +115,7 @@ def test_forgetting_chunks(monkeypatch, tokenizers):
     for text in ["one two three four", "five six seven eight", "one two nine"]:
         (chunks,) = model.chunks([text])
         assert sum(c.n_a for c in chunks) == len(tokenizers[0].encode(" " + text).ids)
-    assert len(model.known) < 12 and aligner(A, B) is aligner(A, B)
+    assert len(model.known) <= 3 and aligner(A, B) is aligner(A, B)
 
 
 def test_empty_table(spark):
