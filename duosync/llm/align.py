@@ -7,8 +7,9 @@ has documents; its measures are joined back to the documents by the text's SHA-2
 Alignment. Both tokenizers' tokens cover the same bytes. Where a token of A and one of B end at the same
 byte, a group ends. The ends of both cut the text into segments that lie in one token of A and
 one of B each, and two tokens overlap in exactly one segment: the segments are the links.
-Both tokenizers start anew at a single space between two other characters, so a text is aligned
-in chunks cut there, and a worker remembers the chunks it has met.
+Both tokenizers start anew at some places, such as a single space between two other characters:
+A's pattern begins a pre-token there, and no piece of B holds both neighbours. So a text is
+aligned in chunks cut there, and a worker remembers the chunks it has met.
 
 The counts' table. Links are counted per id pair in Spark. To bring the counts back, the frequent
 pairs are broadcast: those with a 1/``OFTEN`` of all links, so there are at most ``OFTEN`` of them, at
@@ -18,6 +19,7 @@ is ever a join key, and each pair is counted in full.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -49,7 +51,12 @@ ALIGNED = (
 _KINDS = [pa.int64(), pa.binary(), *[pa.int64()] * 5, pa.string(), *[pa.list_(pa.int64())] * 2]
 _NAMES = [f.split()[0] for f in ALIGNED.split(", ")]
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_TAIL = ".,;:!?"
+# Before a space or line break between two other characters, and before a mark that ends a word.
+_CUT = re.compile(rf"(?<=\S)(?= \S|\n\S)|(?<=[{_LETTER}])(?=[{_TAIL}](?:\s|\Z))")
+# One pre-token of a byte-level vocabulary, whose merges can be asked directly.
+_PLAIN = re.compile(f" ?[{_LETTER}]+")
 _SPACE = "▁"  # sentencepiece's space
 
 
@@ -91,11 +98,20 @@ class Aligner:
         self.digits = [f"{i}{mark}" for mark in ",|" for i in range(top)]
         self.digits += [f"{i}{mark}" for mark in ",;\n" for i in range(len(self.b))]
         before = json.loads(self.a.to_str())["pre_tokenizer"] or {}
-        level = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
-        inner = any(_SPACE in self.b.id_to_piece(i).lstrip(_SPACE) for i in range(len(self.b)))
-        self.splits = level and not inner
+        self.splits = self._starts_anew(before)
+        self.name_of = {c: name for name, c in self.byte_of.items()}
+        # A chunk without a space before it gets a line break instead, whose tokens are taken off.
+        self.lead = len(self.b.encode("\n"))
         self.known: dict[str, Chunk] = {}
 
+    def _starts_anew(self, before: dict) -> bool:
+        level = before.get("type") == "ByteLevel" and before.get("use_regex")
+        pieces = [self.b.id_to_piece(i) for i in range(len(self.b))]
+        two = {pair for p in pieces for pair in zip(p, p[1:])}
+        mixed = any(right == _SPACE != left or "\n" in (left, right) for left, right in two)
+        ends = any(re.match(f"[{_LETTER}]", left) and right in _TAIL for left, right in two)
+        return bool(level and not before.get("add_prefix_space") and not mixed and not ends)
+
     def _level(self, token: str) -> bytes:
         if all(c in self.byte_of for c in token):
             return bytes(map(self.byte_of.__getitem__, token))
@@ -108,11 +124,9 @@ class Aligner:
         return piece.replace(_SPACE, " ").encode()
 
     def _align(self, chunks: list[str]) -> list[Chunk]:
-        first = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
-        second = self.b.encode(chunks, num_threads=1)
-        ids = [([e.ids for e in first], self.a_bytes), (second, self.b_bytes)]
+        ids = [(self._a_ids(chunks), self.a_bytes), (self._b_ids(chunks), self.b_bytes)]
         exact = np.ones(len(chunks), bool)
-        wholes = [(" " + c).encode() for c in chunks]
+        wholes = [c.encode() for c in chunks]
         for each, known in ids:
             back = [b"".join(map(known.__getitem__, of)) for of in each]
             exact &= np.fromiter(map(eq, back, wholes), bool, len(chunks))
@@ -124,6 +138,22 @@ class Aligner:
                 out[k] = chunk
         return out
 
+    def _a_ids(self, chunks: list[str]) -> list[list[int]]:
+        plain = [self.splits and _PLAIN.fullmatch(c) is not None for c in chunks]
+        others = [c for c, is_plain in zip(chunks, plain, strict=True) if not is_plain]
+        encoded = iter(self.a.encode_batch_fast(others, add_special_tokens=False))
+        merges, names = self.a.model.tokenize, self.name_of
+        return [
+            [t.id for t in merges(c.encode().decode("latin-1").translate(names))] if is_plain else next(encoded).ids
+            for c, is_plain in zip(chunks, plain, strict=True)
+        ]
+
+    def _b_ids(self, chunks: list[str]) -> list[list[int]]:
+        spaced = [c.startswith(" ") for c in chunks]
+        given = [c[1:] if s else "\n" + c for c, s in zip(chunks, spaced, strict=True)]
+        found = self.b.encode(given, num_threads=1)
+        return [ids if s else ids[self.lead :] for ids, s in zip(found, spaced, strict=True)]
+
     def _merge(self, a: list[list[int]], b: list[list[int]]) -> Iterator[Chunk]:
         """Align the tokens of many chunks, laid end to end: each chunk's end is common to both."""
         n_a, n_b = ([len(of) for of in side] for side in (a, b))
@@ -153,7 +183,7 @@ class Aligner:
 
     def chunks(self, texts: list[str]) -> list[list[Chunk]]:
         """Each text's chunks, in order; an empty text has none."""
-        cut = [(_CUT.split(t) if self.splits else [t]) if t else [] for t in texts]
+        cut = [(_CUT.split(" " + t) if self.splits else [" " + t]) if t else [] for t in texts]
         seen = Counter(chain.from_iterable(cut))
         known = {c: self.known[c] for c in seen if c in self.known}
         fresh = [c for c in seen if c not in known]
@@ -180,15 +210,16 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 
 def _row(chunks: list[Chunk]) -> tuple:
     """The measures of a text; a byte that either tokenizer changes leaves it without tokens."""
-    if not chunks or not all(c.exact for c in chunks):
+    exact, n_a, n_b, n_groups, pairs, groups = zip(*chunks, strict=True) if chunks else [()] * 6
+    if not chunks or not all(exact):
         return 0, 0, 0, 0, "", [], []
-    counts = Counter(chain.from_iterable(c.pairs for c in chunks))
+    counts = Counter(chain.from_iterable(pairs))
     return (
-        sum(c.n_a for c in chunks),
-        sum(c.n_b for c in chunks),
-        sum(c.n_groups for c in chunks),
-        counts.total(),
-        hashlib.sha256(";".join([c.groups for c in chunks]).encode()).hexdigest(),
+        sum(n_a),
+        sum(n_b),
+        sum(n_groups),
+        sum(map(len, pairs)),
+        hashlib.sha256(";".join(groups).encode()).hexdigest(),
         list(counts.keys()),
         list(counts.values()),
     )
@@ -213,6 +244,8 @@ def _aligned(a_path: str, b_path: str):
                 [pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES
             )
 
+        # Chunks hold no cycles; looking for some would take a fifth of the time.
+        gc.disable()
         for batch in batches:
             rows, size = [], 0
             for text, key, times in zip(*batch.columns, strict=True):

@@ -81,7 +81,7 @@ def texts():
         rng.choice([" ", " ", ""]).join(rng.choice(words) for _ in range(rng.randint(1, 60)))
         for _ in range(120)
     ]
-    odd = [None, "", " ", "  ", "a", " a", "a ", "a \n b", "▁", "a ▁ b", "x▁ y", "a" * 500, "long words here " * 3000]
+    odd = ["a\nb", "\nab", "ab\n", "a.\nb", "it's. a", "x's, y", "e.g. a.b ab: c;d", "É. ß! x? 1. ½.", "a\r\nb", " .", ".", None, "", " ", "  ", "a", " a", "a ", "a \n b", "▁", "a ▁ b", "x▁ y", "a" * 500, "long words here " * 3000]
     return odd + made + ["copied text of many rows"] * 60
 
 
