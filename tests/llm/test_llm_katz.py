@@ -91,6 +91,27 @@ def test_against_brute_force(spark, monkeypatch, part_tokens):
         assert total == pytest.approx(1)
 
 
+def test_hot_pairs(spark, monkeypatch):
+    """Pairs in more than three documents of a block go apart: frequent, rare and unseen ones."""
+    monkeypatch.setattr(katz, "PART_TOKENS", 100)
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 2500)
+    monkeypatch.setattr(katz, "HOT_DOCS", 3)
+    held = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = corpus() + [(i, "never learned here, the of " + "x y x " * (i % 3)) for i in held[-150:]]
+    rows += [(i, "x y x") for i in (5001, 5002)] + [(6000 + i, "on off " * 200) for i in range(40)]
+    compare(spark, rows)
+    frame = spark.createDataFrame([r for r in rows], "doc_id long, text string").repartition(3)
+    _, tokens = katz.count_tokens(frame, Scratch(spark))
+    assert tokens.hot < 5
+    sent = spark.sparkContext.broadcast(tokens)
+    shares = frame.mapInArrow(katz._send(sent), katz.SHARE)
+    found = Scratch(spark)(shares.groupBy("part").applyInArrow(katz._meet(sent), katz.FOUND))
+    seen = {r.n for r in found.filter(f"kind = {katz.ANSWER}").collect()}
+    assert 0 in seen and seen & {1, 2, 3, 4, 5} and max(seen) > 1000
+    # The 8,000 repeats of one pair are 40 rows at most.
+    assert found.filter(f"kind = {katz.HOT} AND n > 100").count() <= 80
+
+
 def test_small_and_empty(spark):
     compare(spark, [(1, "a b a"), (2, None)])
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0)
