@@ -12,8 +12,10 @@ are built up before the shuffle, so a host with a third of all pages is like any
 
 Elements that say what they are (``nav``, ``footer``, ``class="ad"`` ...) go whatever their
 entropy, but a wrapper that holds most of a page's text is not judged by a word of its class.
-``article`` and ``main`` say that they are content: entropy decides for the rest, also for the branches
-inside them, but an article that many pages of a site repeat as a whole is kept.
+``article`` and ``main`` say that they are content: entropy decides for the rest, also for wrappers
+inside them (``div``, ``ul`` ...), but not for the article's own headings and paragraphs, and an
+article that many pages of a site repeat as a whole is kept. Equal pages of a host are one page of
+the tree, so mirrors don't make a text look like a template, and no page loses all of its text.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duosync.llm.common import Scratch
@@ -63,6 +65,11 @@ WORDS = frozenset(
     " comment comments respond disqus cookie cookies consent gdpr notice notices alert popup modal"
     " newsletter subscribe signup widget share sharing social related".split()
 )
+# Elements that may be furniture inside an article.
+WRAPPERS = frozenset(
+    "div section ul ol dl table aside nav header footer form figure fieldset details center"
+    " iframe menu".split()
+)
 SITE = frozenset(["site", "page", "top", "global", "main"])
 MAIN = {"main": 1, "article": 2}
 # How sure an element's marks are that it isn't the article: the share of the page's text above
@@ -103,6 +110,18 @@ class Element:
         self.size, self.chrome, self.inner = 0, False, False
 
 
+    def is_low(self, low: frozenset[int]) -> bool:
+        """Whether it stands in a low branch. Inside an article only wrappers are branches to remove."""
+        if not low.intersection(self.above):
+            return False
+        at = self
+        while at.parent is not None:
+            if at.path in low and (not at.content or at.tag in WRAPPERS):
+                return True
+            at = at.parent
+        return False
+
+
 def _marks(tag: str, rest: str) -> tuple[str, float]:
     """The element's name in the tree, and how sure it says that it isn't the article (0: not at all)."""
     mark = 0.0
@@ -247,8 +266,8 @@ class Page:
             kept = [(t, e) for t, e in self.blocks if not e.sure]
         level = max((e.content for _, e in kept), default=0)
         inside = [(t, e) for t, e in kept if e.content == level]
-        high = [t for t, e in inside if not low.intersection(e.above)]
-        if level and not high:  # an article that other pages repeat
+        high = [t for t, e in inside if not e.is_low(low)]
+        if not high:  # a text that other pages repeat
             high = [t for t, _ in inside]
         return " ".join(high)
 
@@ -362,6 +381,28 @@ def low_branches(tree: DataFrame) -> DataFrame:
     return low.groupBy("host").agg(F.collect_list("path").alias("low"))
 
 
+def _side(table: DataFrame, size: Column) -> DataFrame:
+    """The side of a join to be broadcast if its ``size`` in bytes is small, else joined by a shuffle."""
+    total = table.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(table) if total <= BROADCAST_BYTES else table
+
+
+def distinct_pages(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pages (page_id, host, html) without those that repeat another page of their host.
+
+    The one with the least page_id stays. Without an id, all of them do.
+    """
+    keyed = pages.select("page_id", "host", "html", F.xxhash64("html").alias("_digest"))
+    again = scratch(
+        keyed.groupBy("host", "_digest")
+        .agg(F.count("*").alias("_n"), F.min("page_id").alias("_first"))
+        .filter("_n > 1")
+    )
+    side = _side(again, F.length("host") + 24)
+    found = keyed.join(side, ["host", "_digest"], "left")
+    return found.filter("_first IS NULL OR page_id = _first").select("host", "html")
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
@@ -392,9 +433,8 @@ def extract(pages: DataFrame, scratch: Scratch) -> DataFrame:
         F.col("html").cast("string"),
         F.coalesce(F.lower(F.expr("try_parse_url(url, 'HOST')")), F.lit("")).alias("host"),
     )
-    low = scratch(low_branches(style_tree(source, scratch)))
-    size = low.agg(F.sum(F.length("host") + 8 * F.size("low"))).first()[0] or 0
-    side = F.broadcast(low) if size <= BROADCAST_BYTES else low
+    low = scratch(low_branches(style_tree(distinct_pages(source, scratch), scratch)))
+    side = _side(low, F.length("host") + 8 * F.size("low"))
     return source.join(side, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long"
     )

@@ -136,3 +136,45 @@ def test_repeated_wrapper_is_judged_by_the_tree(spark):
     rows += [(10 + i, "http://b.org", page.format("the same on all pages", f"own {i}")) for i in range(6)]
     got = {r.page_id: r.text for r in extract(frame(spark, rows), Scratch(spark)).collect()}
     assert got[0] == "own text 0" and got[11] == "own 1"
+
+
+def texts(spark, rows):
+    return {r.page_id: r.text for r in extract(frame(spark, rows).repartition(3), Scratch(spark)).collect()}
+
+
+def test_mirrors_keep_their_text(spark):
+    """Equal pages are one page; a host of few different pages proves nothing."""
+    body = "<body><div class='post'><p>{}<p>second"
+    rows = [(i, "http://a.org", body.format("the text")) for i in range(5)]
+    rows += [(10 + i, "http://b.org", body.format(f"story {i % 2}")) for i in range(8)]
+    # Forty copies of one story beside others, under the same notice.
+    site_page = "<body><div class=box><p>Same notice</div><div class=post><p>story {0}<p>more {0}"
+    rows += [(100 + i, "http://c.org", site_page.format(max(0, i - 39))) for i in range(50)]
+    got = texts(spark, rows)
+    assert {got[i] for i in range(5)} == {"the text second"}
+    assert [got[10 + i] for i in range(8)] == [f"story {i % 2} second" for i in range(8)]
+    assert [got[100 + i] for i in (0, 39, 45)] == [f"story {n} more {n}" for n in (0, 0, 6)]
+
+
+def test_rows_that_repeat_an_id_keep_their_text(spark):
+    got = texts(spark, [(1, "http://a.org", "<div><p>text")] * 6 + [(None, "http://b.org", "<p>t")] * 6)
+    assert got == {1: "text", None: "t"}
+
+
+@pytest.mark.parametrize("tag", ["main", "article"])
+def test_headings_that_repeat_stay(spark, tag):
+    page = f"<{tag}><h1>Daily report</h1><p>own {{0}}<h2>Outlook</h2><p>Sunny<div class=x><p>Like us</div></{tag}>"
+    rows = [(i, "http://a.org", page.format(i)) for i in range(8)]
+    got = texts(spark, rows)
+    assert [got[i] for i in range(8)] == [f"Daily report own {i} Outlook Sunny" for i in range(8)]
+
+
+def test_chrome_without_a_telling_tag_or_class(spark):
+    """Menu, notice and closing lines in plain wrappers, told by entropy alone."""
+    page = (
+        "<body><div><div class=k><div>Home</div><div>News</div><div>About us</div></div>"
+        "<div class=l><p>Title {0}<p>own text {0}<p>more of it {0}</div>"
+        "<table class=m><tr><td>Read our terms<td>Write to us</table><div class=n>All rights kept</div></div>"
+    )
+    got = texts(spark, [(i, "http://a.org", page.format(i)) for i in range(12)])
+    assert [got[i] for i in range(12)] == [f"Title {i} own text {i} more of it {i}" for i in range(12)]
