@@ -234,6 +234,68 @@ def enrich_as_of(
     )
 
 
+def valid_ranges(versions: DataFrame, row_id: str, seq: str = "seq") -> DataFrame:
+    """Versions of rows with ``_from``, their own ``seq``, and ``_to``, the one of the row's next
+    version (NULL for the last): a version is what events after ``_from`` and up to ``_to`` see."""
+    line = versions.withColumn("_from", F.col(seq)).withColumn("_back", -F.col(seq))
+    return running(line, [row_id], "_back", {"_to": ("last", F.col("_from"))}).drop("_back")
+
+
+def during(
+    ev: DataFrame,
+    ranges: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    order: Sequence[Column],
+    cols: Sequence[str],
+    found: str = "n_found",
+) -> DataFrame:
+    """Each event sees the rows that are valid at its ``seq``: their number and the last one in ``order``.
+
+    ``ranges`` has the keys, ``cols``, ``_from`` and ``_to`` as in ``valid_ranges``, and ``_n``, the
+    number of rows it stands for. A row may come under another key in each version.
+
+    A range is cut into the aligned blocks of 1, 2, 4, ... numbers that it fills, two of a size at most, and
+    an event asks the one block of each size that its number lies in: every valid row is met in just one block.
+    Blocks are summed up before the events ask, so no event meets a row, whatever a key's size.
+    """
+    keys, cols = list(keys), list(cols)
+    span = ev.agg(F.min(seq).alias("low"), F.max(seq).alias("high")).first()
+    low = span.low or 0
+    bits = ((span.high or 0) - low + 1).bit_length()
+    a = F.greatest(F.col("_from") + 1 - low, F.lit(0).cast("long"))
+    b = F.least(F.coalesce(F.col("_to") + 1 - low, F.lit(1 << bits)), F.lit(1 << bits))
+    blocks = f"""filter(flatten(transform(sequence(0, {bits}), l -> array(
+        IF(_a_(l) < _b_(l) AND _a_(l) % 2 = 1, named_struct('size', l, 'at', _a_(l)), NULL),
+        IF(_a_(l) < _b_(l) AND _b_(l) % 2 = 1, named_struct('size', l, 'at', _b_(l) - 1), NULL)
+    ))), x -> x IS NOT NULL)"""
+    blocks = blocks.replace("_a_(l)", "shiftright(_a + shiftleft(1L, l) - 1, l)")
+    blocks = blocks.replace("_b_(l)", "shiftright(_b, l)")
+    top = [F.sum("_n").alias("_n"), F.max_by("_row", "_order").alias("_row"), F.max("_order").alias("_order")]
+    filled = (
+        restrict(ranges, ev, keys)
+        .select(*keys, "_n", F.struct(*cols).alias("_row"), F.struct(*order).alias("_order"), a.alias("_a"), b.alias("_b"))
+        .filter("_a < _b")
+        .withColumn("_block", F.explode(F.expr(blocks)))
+        .groupBy(*keys, "_block")
+        .agg(*top)
+    )
+    asked = restrict(ev.select(*keys, seq).distinct(), ranges, keys).withColumn(
+        "_block",
+        F.explode(
+            F.expr(
+                f"transform(sequence(0, {bits}), l -> "
+                f"named_struct('size', l, 'at', shiftright({seq} - {low}L, l)))"
+            )
+        ),
+    )
+    seen = asked.join(filled, [*keys, "_block"]).groupBy(*keys, seq).agg(*top[:2])
+    out = ev.join(seen, [*keys, seq], "left")
+    return out.select(
+        *ev.columns, F.coalesce("_n", F.lit(0)).alias(found), *[F.col(f"_row.{c}").alias(c) for c in cols]
+    )
+
+
 def _struct_type(df: DataFrame, cols: Sequence[str]):
     return df.select(F.struct(*cols).alias("s")).schema["s"].dataType
 

@@ -3,13 +3,13 @@
 The modern-side flows run first. What they change on the legacy side becomes, marked MODERN,
 part of the legacy feeds. The legacy-side flows write only the target, so two stages are
 enough. Attempt counts, locks, existence, primary flags and the target follow the events one by
-one, and so do the images and patches of a source row. The second stage's other lookups read the
-tables as they are after the batch's own source rows.
+one, and so do the images and patches of a source row. The second stage looks verifications,
+staging rows, transactions and accounts up as they are before each event.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -236,7 +236,6 @@ def run_batch(
         accounts = modern.apply_modern_accounts(
             parties[0], t, now, parties=parties, mask=mask, decided=decided
         )
-        made["verification"] = modern.verification_events(t, accounts["verification_patch"])
         verified = accounts["verification_patch"]
         key = "bank_account_verification_id"
         seen = union_all([start["applied"], *taken]).filter("feed = 'verification'")
@@ -249,13 +248,30 @@ def run_batch(
         final = keep(modern.account_snapshot(start["customer_account"], accounts, account_feed))
         made["customer_account"] = modern.derived_account_events(customer_accounts, final, accounts)
         t["customer_account"] = final.drop("born_seq")
+    seen = dict(t)
+    # What the second stage looks up in a table that changes in this batch, it reads from the
+    # rows' versions. The guard lets one modern verification of a row through in a batch.
+    if given & {"verification", "modern_account", "modern_deposit"}:
+        new = [part["verification"] for part in (accounts, deposits)]
+        versions = keep(
+            row_versions("verification", start, fresh, new, accounts["verification_patch"])
+        )
+        if parties is not None:
+            versions, made["verification"] = modern.verified_versions(
+                versions, accounts["verification_patch"]
+            )
+            versions = keep(versions)
+        seen[legacy.VERSIONS + "verification"] = versions
+    for name in given & {"modern_account", "modern_deposit"}:
+        seen[legacy.VERSIONS + name] = keep(row_versions(name, start, fresh))
+    for name in ("verification", "modern_account", "modern_deposit"):
+        seen[legacy.FIRST + name] = start[name]
     t["id_map"] = update_from(
         start["id_map"].unionByName(accounts["id_map"]), deposits["id_map_patch"],
         ["modern_bank_account_id"], ["modern_micro_deposit_id", "legacy_micro_deposit_id"],
     )
 
-    # Stage 2: legacy side. It reads transactions and accounts as they are before each event.
-    seen = dict(t)
+    # Stage 2: legacy side. It reads what changes in the batch as it is before each event.
     if given & {"transaction", "modern_deposit"}:
         seen[legacy.FIRST + "transaction"] = start["transaction"]
         seen[legacy.TXN_VERSIONS] = keep(transaction_versions(fresh.get("transaction"), deposits, t))
@@ -284,7 +300,7 @@ def run_batch(
         results.append(legacy.apply_attempts(ev, t, now, enriched=enriched))
     # Postings of the deposit flow touch migrated verifications only, which this flow leaves.
     if (ev := legacy_feed("transaction")) is not None:
-        results.append(legacy.apply_transaction_status(ev, t, now))
+        results.append(legacy.apply_transaction_status(ev, seen, now))
     patches = empty_patches(spark)
     if results:
         patches = keep(union_all([r["patches"] for r in results]))
@@ -314,6 +330,30 @@ def run_batch(
     return BatchResult(outputs, t, touched, patches, keep.release)
 
 
+def row_versions(
+    name: str, start: Tables, fresh: Tables, new: Sequence[DataFrame] = (), patch: DataFrame | None = None
+) -> DataFrame:
+    """All versions of the rows of table ``name`` that this batch changes: columns, seq, there.
+
+    ``fresh`` has the feeds' events, ``new`` rows made in the batch, ``patch`` names rows that change otherwise.
+    """
+    key, cols = ROW_IDS[name], [f.name for f in schema(TABLES[name]).fields]
+    parts = []
+    if name in fresh:
+        there = F.col("op") != "D"
+        image = {c: F.when(there, F.col(f"after.{c}")) for c in cols} | {key: _row_id(name)}
+        parts.append(
+            fresh[name].select(*[image[c].alias(c) for c in cols], "seq", there.alias("there"))
+        )
+    for rows in new:
+        parts.append(rows.select(*cols, born(key).cast("long").alias("seq"), F.lit(True).alias("there")))
+    ids = [p.select(key) for p in parts] + ([patch.select(key)] if patch is not None else [])
+    stored = start[name].join(union_all(ids).distinct(), [key], "left_semi")
+    return union_all(
+        [stored.select(*cols, F.lit(-1).cast("long").alias("seq"), F.lit(True).alias("there")), *parts]
+    )
+
+
 def transaction_versions(feed: DataFrame | None, deposits: Tables, after: Tables) -> DataFrame:
     """Transactions as this batch's events leave them: (verification, id, seq, values, is_new).
 

@@ -35,6 +35,7 @@ from duosync.operators.generate import (
 )
 from duosync.operators.lookup import (
     enrich,
+    enrich_as_of,
     find_or_create,
     first_match,
     inner,
@@ -1258,21 +1259,27 @@ def deposit_tables(
     }
 
 
-def verification_events(tables: Tables, patch: DataFrame) -> DataFrame:
-    """Verified-date updates made by the account flow, as verification events."""
+def verified_versions(versions: DataFrame, patch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(versions with the account flow's verified dates, these as verification events).
+
+    ``versions`` holds the other versions of the patched rows. A patch changes the row as it is before it; a row
+    that isn't there then is left alone.
+    """
     row = [f.name for f in schema(VERIFICATION).fields]
     key = "bank_account_verification_id"
+    wanted = patch.select(key, "seq", "event_id", F.struct("verified_date", "result").alias("_new"))
+    rest = [c for c in row if c != key]
+    hit = enrich_as_of(wanted, versions, [key], "seq", [*rest, "there"]).filter("there")
     new = {"verified_date": F.col("_new.verified_date"), "result": F.col("_new.result")}
-    hit = tables["verification"].select(*row).join(
-        patch.select(key, "seq", "event_id", F.struct("verified_date", "result").alias("_new")), [key]
-    )
-    return as_events(
+    after = [new.get(c, F.col(c)).alias(c) for c in row]
+    events = as_events(
         hit,
         event_id=assign_ids(F.col("event_id"), F.lit("verification")),
         seq=F.col("seq"),
         op=F.lit("U"),
         origin=F.lit(MODERN),
         before=F.struct(*row),
-        after=F.struct(*[new.get(c, F.col(c)).alias(c) for c in row]),
+        after=F.struct(*after),
         updated_cols=F.array(F.lit("verified_date"), F.lit("result")),
     )
+    return versions.unionByName(hit.select(*after, "seq", "there")), events
