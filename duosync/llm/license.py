@@ -7,8 +7,8 @@
    taken, so a sentence may run over several lines. It becomes an identifier, with its version. A
    name at a sentence's end goes no further than its own unit, nor over a known sentence.
 3. The identifiers, in order, are matched against the rules, also in order: a rule is a sequence
-   of identifiers. Identifiers that a rule used are not used again; unknown sentences between
-   them don't matter, unless there are more than ``GAP`` words of them.
+   of identifiers. Identifiers that a rule used are not used again. What stands between them
+   doesn't matter, but a sentence that begins another licence ends the search.
 
 Texts go through one pass without a shuffle; the sentences and rules travel with the code.
 """
@@ -23,9 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Unknown words that may stand between two sentences of one rule.
-GAP = 60
-
 # Sentences of well-known licences and notices. <v> takes a version, <y> years, <*> up to
 # eight words, <l> a licence expression to the end of its unit; (a|b) are alternatives. Several texts may have one identifier.
 SENTENCES: list[tuple[str, str]] = [
@@ -201,7 +198,9 @@ _HINT = re.compile(
     "licen[cs]e|permission|redistribution|copyright|rights reserved|public domain|free software"
     "|advertising|warranty|neither the name|(?:released|distributed|available|published) under"
 )
-WILD = 8
+# A sentence that ends within so many words of a wild place may be a short form in a name.
+SHORT = 8
+_STOPPED = re.compile(r"[.!?]\s*\Z")
 
 
 def words_of(unit: str) -> list[str]:
@@ -267,6 +266,8 @@ class Sentences:
                 self._add(statement, f"{opening} {name}")
             if (licence, [statement]) not in self.rules:
                 self.rules.append((licence, [statement]))
+        # Sentences that begin a licence of several.
+        self.openings = {names[0] for _, names in self.rules if len(names) > 1}
 
     def _add(self, name: str, pattern: str) -> None:
         for words in _expand(pattern):
@@ -276,7 +277,7 @@ class Sentences:
             node.setdefault("", name)
 
     def _match(
-        self, words: list[str], at: int, starts: set[int], ends: list[int]
+        self, words: list[str], at: int, starts: set[int], ends: list[int], stops: list[int]
     ) -> tuple[int, str, str] | None:
         """The longest sentence from word ``at`` that ends with a unit: (end, name, version)."""
         best = None
@@ -291,10 +292,13 @@ class Sentences:
                 continue
             if "<*>" in node or "<l>" in node:
                 end = ends[bisect_right(ends, i)]
-                if i in starts and self._match(words, i, starts, ends):
+                # Any words may stand there up to the end of the sentence, which a short form like "Inc." isn't.
+                stop = stops[bisect_right(stops, i)]
+                if i in starts and self._match(words, i, starts, ends, stops):
                     end = -1
-                for n in range(1, min(WILD, len(words) - i) + 1 if "<*>" in node else 0):
-                    todo.append((node["<*>"], i + n, version, end))
+                if "<*>" in node:
+                    last = max(min(i + SHORT, len(words)), stop)
+                    todo += [(node["<*>"], n, version, end) for n in range(i + 1, last + 1)]
                 if "<l>" in node and end > 0:
                     todo.append((node["<l>"], end, " ".join(words[i:end]), end))
             if words[i] in node:
@@ -308,16 +312,19 @@ class Sentences:
         text = text.lower()
         if not _HINT.search(text):
             return []
-        words, starts = [], []
+        words, starts, stops = [], [], []
         for unit in _UNIT.split(_SPDX.sub("spdx-license-identifier: ", text)):
             own = words_of(unit)
             if own:
                 starts.append(len(words))
                 words += own
+            if _STOPPED.search(unit):
+                stops.append(len(words))
         opening, ends = set(starts), [*starts[1:], len(words)]
+        stops.append(len(words))
         out, free = [], 0
         for at in starts:
-            if at >= free and (found := self._match(words, at, opening, ends)):
+            if at >= free and (found := self._match(words, at, opening, ends, stops)):
                 free, name, version = found
                 out.append((name, version, at, free))
         return out
@@ -343,17 +350,16 @@ class Sentences:
                     at += 1
         return sorted(out, key=lambda x: x[1])
 
-    @staticmethod
-    def _sequence(left: list[tuple[str, str, int, int]], at: int, names: list[str]) -> list[int] | None:
-        """Places of ``names`` in order from ``at`` on, at most ``GAP`` words from one to the next."""
+    def _sequence(self, left: list[tuple[str, str, int, int]], at: int, names: list[str]) -> list[int] | None:
+        """Places of ``names`` in order from ``at`` on, however far, before another licence begins."""
         if left[at][0] != names[0]:
             return None
         match = [at]
         for name in names[1:]:
             i = match[-1] + 1
-            while i < len(left) and left[i][2] - left[match[-1]][3] <= GAP and left[i][0] != name:
+            while i < len(left) and left[i][0] != name and left[i][0] not in self.openings:
                 i += 1
-            if i >= len(left) or left[i][2] - left[match[-1]][3] > GAP:
+            if i == len(left) or left[i][0] != name:
                 return None
             match.append(i)
         return match

@@ -59,7 +59,9 @@ def licences(text):
         (MIT, ["MIT"]),
         (BSD, ["BSD-2-Clause"]),
         (BSD + NAMES, ["BSD-3-Clause"]),
-        (BSD + "w " * 200 + "\n" + NAMES, ["BSD-2-Clause"]),
+        (BSD + "w " * 2000 + "\n" + NAMES, ["BSD-3-Clause"]),
+        (BSD + "\n" + MIT + "\n" + NAMES, ["BSD-2-Clause", "MIT"]),
+        (BSD + NAMES.replace("copyright holder", "a b c d e f g h i j k l m n o p q r s t Inc"), ["BSD-3-Clause"]),
         (GPL, ["GPL-3+"]),
         (MIT + "\n" + BSD + "\nReleased under the MIT License.", ["MIT", "BSD-2-Clause", "MIT"]),
         ("He said it was released under the MIT License.", []),
