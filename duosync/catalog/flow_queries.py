@@ -296,22 +296,22 @@ def run_batch_query(d: Data) -> DataFrame:
 def run_stream_query(d: Data) -> DataFrame:
     """The same feeds as a stream over Parquet folders, into a bucketed target.
 
-    Two runs of the stream share the events by number; some events of the first come again in
-    the second, which changes nothing.
+    Two runs of the stream share the events by number: the second has those after the last one of the second longest
+    feed. Some events of that feed come again in it, which changes nothing.
     """
     root = f"{checkpoint_folder(d.spark)}/stream-{uuid.uuid4().hex}"
     feeds = legacy_feeds(d)
-    middle = feeds["verification"].agg(F.max("seq")).first()[0] // 2
+    last = {name: feed.agg(F.max("seq")).first()[0] or 0 for name, feed in feeds.items()}
+    *_, middle, _ = sorted(last.values())
     paths = {name: f"{root}/feeds/{name}" for name in feeds}
-    parts = [
-        F.col("seq") <= middle,
-        (F.col("seq") > middle) | F.col("event_id").endswith("7"),
-    ]
+    first = {name: F.col("seq") <= middle for name in feeds}
+    longest = max(last, key=last.get)
+    second = {longest: (F.col("seq") > middle) | F.col("event_id").endswith("7")}
     store = TableStore(d.spark, f"{root}/tables", buckets=8)
     store.create(legacy_tables(d))
-    for part in parts:
-        for name, feed in feeds.items():
-            feed.filter(part).write.mode("append").parquet(paths[name])
+    for parts in (first, second):
+        for name, part in parts.items():
+            feeds[name].filter(part).write.mode("append").parquet(paths[name])
         run_stream(
             d.spark, paths, store, f"{root}/out", f"{root}/checkpoint", now=now
         ).awaitTermination()

@@ -10,6 +10,7 @@ from duosync.catalog.standins import Data, plain
 from duosync.functions import codes
 from duosync.functions import columns as C
 from duosync.operators import deposits, generate, lookup, merge, rejects, route
+from duosync.plans.lineage import Scratch
 from duosync.sources.feeds import pair_images
 
 NOW = "2026-01-01 12:00:00"
@@ -519,9 +520,10 @@ def cases_audit(d: Data) -> DataFrame:
 
 
 def dense_ids(d: Data) -> DataFrame:
-    """The number of every order; which order has which follows a hash that SQL doesn't know."""
-    out = generate.dense_ids(d.orders.select("o_orderkey"), ["o_orderkey"], "dense", start=100)
-    return out.select(F.col("dense").cast("long").alias("dense"))
+    """The number of every order, by date and key."""
+    orders = d.orders.select("o_orderkey", "o_orderdate")
+    out = generate.dense_ids(orders, ["o_orderdate", "o_orderkey"], "dense", Scratch(d.spark), start=100)
+    return out.select("o_orderkey", F.col("dense").cast("long").alias("dense"))
 
 
 def verification_rows(d: Data) -> DataFrame:

@@ -261,7 +261,8 @@ OPERATOR_SQL = {
         created_date AS audit_date, id || ':case' AS uc_id, line_no, 'order:' || id AS ref_num,
         CASE WHEN result = 'Pass' THEN 415471 ELSE 415472 END AS type_id, 1 AS status_id
       FROM ({VER}) v, (VALUES (1), (2), (3), (4), (5)) n(line_no)""",
-    "dense_ids": "SELECT 100 + row_number() OVER (ORDER BY o_orderkey) AS dense FROM orders",
+    "dense_ids": """SELECT o_orderkey,
+        100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS dense FROM orders""",
     "verification_rows": f"""SELECT id, 2 AS row_no, verification_type,
         created_date + INTERVAL 11 MICROSECONDS AS created_date, result FROM ({VER}) v
       UNION ALL SELECT id, 1, 'Initial', created_date, 'StepUp' FROM ({VER}) v

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,27 +55,27 @@ def born(row_id: Column | str) -> Column:
     return F.when(c < 0, F.shiftright(-c - 1, SLOT_BITS)).otherwise(-1)
 
 
-def dense_ids(df: DataFrame, order: Sequence[str], out: str, start: int = 0, buckets: int = 64):
-    """Consecutive numbers from ``start + 1`` without one task seeing all rows.
+def dense_ids(
+    df: DataFrame, order: Sequence[str], out: str, cut: Callable[[DataFrame], DataFrame], start: int = 0
+) -> DataFrame:
+    """Consecutive numbers from ``start + 1`` in ``order``, without one task seeing all rows.
 
-    Rows are dealt into buckets by a hash of their order columns, numbered inside each
-    bucket, and moved up by the number of rows in the buckets before. The order columns
-    are unique. Only the bucket counts, at most ``buckets`` rows, meet in one task.
+    The rows are sorted into range partitions, as many as Spark sees fit, and written once by ``cut`` with their
+    place in the partition. Only the partitions' sizes meet in one task, whose running sum moves the places
+    up. A later batch goes on from its own ``start``. Rows with equal order columns are numbered in any order.
     """
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    counts = df.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.alias("a").join(
-        F.broadcast(counts.select(F.col("_bucket").alias("_b"), F.col("_n").alias("_m"))),
-        F.col("_b") < F.col("_bucket"),
-        "left",
-    )
-    offsets = before.groupBy("_bucket").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_offset"))
-    w = Window.partitionBy("_bucket").orderBy(*order)
+    place = F.monotonically_increasing_id()
+    placed = cut(df.orderBy(*order).withColumn("_place", place))
+    # The id's upper part is the partition, its lower 33 bits count the partition's rows.
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_place").bitwiseAND((1 << 33) - 1)
     return (
-        df.withColumn("_rn", F.row_number().over(w))
-        .join(offsets, ["_bucket"])
-        .withColumn(out, F.col("_rn") + F.col("_offset") + F.lit(start))
-        .drop("_bucket", "_rn", "_offset")
+        placed.join(sizes, ["_part"])
+        .withColumn(out, inside + F.col("_before") + F.lit(start + 1))
+        .drop("_part", "_place", "_before")
     )
 
 

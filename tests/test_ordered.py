@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duosync.operators.deposits import prior_attempts
 from duosync.operators.generate import dense_ids
+from duosync.plans.lineage import Scratch
 from duosync.operators.lookup import enrich_as_of
 from duosync.operators.ordered import running
 
@@ -70,5 +71,10 @@ def test_prior_attempts_add_committed(spark):
 
 
 def test_dense_ids(spark):
-    out = dense_ids(spark.range(500).withColumnRenamed("id", "x"), ["x"], "n", start=7, buckets=5)
-    assert sorted(r.n for r in out.collect()) == list(range(8, 508))
+    rows = spark.range(500).selectExpr("(id * 7) % 500 AS x").repartition(9)
+    out = dense_ids(rows, ["x"], "n", Scratch(spark), start=7)
+    assert sorted((r.x, r.n) for r in out.collect()) == [(x, x + 8) for x in range(500)]
+    # The next batch goes on; an empty one gives nothing.
+    more = dense_ids(spark.range(3).withColumnRenamed("id", "x"), ["x"], "n", Scratch(spark), start=507)
+    assert sorted(r.n for r in more.collect()) == [508, 509, 510]
+    assert dense_ids(rows.limit(0), ["x"], "n", Scratch(spark)).collect() == []
