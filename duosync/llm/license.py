@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of well-known licences and notices. <v> takes a version, <y> years, <*> up to
-# eight words, <l> a licence expression to the end of its unit; (a|b) are alternatives. Several texts may have one identifier.
+# Sentences of well-known licences and notices. <v> takes a version, <y> years, <*> any
+# words of the sentence, <l> a licence expression to the end of its unit; (a|b) are alternatives. Several texts may have one identifier.
 SENTENCES: list[tuple[str, str]] = [
     ("copyright", "copyright <*>"),
     ("all-rights", "all rights reserved"),
