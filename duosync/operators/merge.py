@@ -226,6 +226,27 @@ def merge_delete(
     )
 
 
+def compare_and_set(
+    ev: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    stored: Column,
+    value: Column,
+    *,
+    width: int | None = None,
+) -> DataFrame:
+    """The events whose guarded write ("only where the column is still NULL") takes effect.
+
+    ``keys`` name the cell and the last unguarded write to it before the event, ``stored`` is what that write
+    left there. Where it left a value, no write takes effect. Else they all do up to the first one that sets
+    a value: a write of NULL leaves the cell open. An unguarded write starts over, so the outcome is that of
+    applying all writes one by one.
+    """
+    open_ = ev.filter(stored.isNull())
+    tried = running(open_, keys, seq, {"_set": ("count", value.isNotNull())}, width=width)
+    return tried.filter("_set = 0").drop("_set")
+
+
 def one_primary(
     accounts: DataFrame,
     promotions: DataFrame,

@@ -3,8 +3,8 @@
 The modern-side flows run first. What they change on the legacy side becomes, marked MODERN,
 part of the legacy feeds. The legacy-side flows write only the target, so two stages are
 enough. Attempt counts, locks, existence, primary flags and the target follow the events one by
-one, and so do the images and patches of a source row. The second stage looks verifications,
-staging rows, transactions and accounts up as they are before each event.
+one, and so do the images and patches of a source row. Both stages look verifications up as they are
+before each event, the second one staging rows, transactions and accounts, too.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from duosync.plans import legacy_side as legacy
 from duosync.plans import modern_side as modern
 from duosync.plans.lineage import Scratch
 from duosync.plans.target import KEYS, SHAPE
+from duosync.plans.versions import FIRST, VERSIONS
 from duosync.sources.schemas import (
     ACCOUNT_RESULT,
     APPLIED,
@@ -206,8 +207,15 @@ def run_batch(
         t["bank_account"] = start["bank_account"].unionByName(parties[2])
 
     deposits = _empty(spark, DEPOSIT_RESULT)
+    # Both modern flows look verifications up as they are before each event.
+    before = {}
+    if "verification" in given:
+        before = {
+            FIRST + "verification": start["verification"],
+            VERSIONS + "verification": keep(row_versions("verification", start, fresh)),
+        }
     if "modern_deposit" in given:
-        enriched = keep(modern.enrich_deposits(feeds["modern_deposit"], t, keep))
+        enriched = keep(modern.enrich_deposits(feeds["modern_deposit"], t | before, keep))
         deposits = modern.apply_modern_deposits(
             feeds["modern_deposit"], t, now, mask=mask, enriched=enriched
         )
@@ -226,9 +234,15 @@ def run_batch(
     )
     t["customer_account"] = customer_accounts
     if parties is not None:
+        if given & {"verification", "modern_deposit"}:
+            made_before = row_versions("verification", start, fresh, [deposits["verification"]])
+            before = {
+                FIRST + "verification": start["verification"],
+                VERSIONS + "verification": keep(made_before),
+            }
         decided = keep(
             modern.decide_accounts(
-                parties[0], t | {"customer_account": start["customer_account"]},
+                parties[0], t | before | {"customer_account": start["customer_account"]},
                 account_feed=account_feed if "customer_account" in given else None,
                 fix_exists=fix_exists, cut=keep,
             )
@@ -250,7 +264,7 @@ def run_batch(
         t["customer_account"] = final.drop("born_seq")
     seen = dict(t)
     # What the second stage looks up in a table that changes in this batch, it reads from the
-    # rows' versions. The guard lets one modern verification of a row through in a batch.
+    # rows' versions, those that modern verifications leave among them.
     if given & {"verification", "modern_account", "modern_deposit"}:
         new = [part["verification"] for part in (accounts, deposits)]
         versions = keep(
@@ -261,11 +275,11 @@ def run_batch(
                 versions, accounts["verification_patch"]
             )
             versions = keep(versions)
-        seen[legacy.VERSIONS + "verification"] = versions
+        seen[VERSIONS + "verification"] = versions
     for name in given & {"modern_account", "modern_deposit"}:
-        seen[legacy.VERSIONS + name] = keep(row_versions(name, start, fresh))
+        seen[VERSIONS + name] = keep(row_versions(name, start, fresh))
     for name in ("verification", "modern_account", "modern_deposit"):
-        seen[legacy.FIRST + name] = start[name]
+        seen[FIRST + name] = start[name]
     t["id_map"] = update_from(
         start["id_map"].unionByName(accounts["id_map"]), deposits["id_map_patch"],
         ["modern_bank_account_id"], ["modern_micro_deposit_id", "legacy_micro_deposit_id"],
@@ -273,12 +287,12 @@ def run_batch(
 
     # Stage 2: legacy side. It reads what changes in the batch as it is before each event.
     if given & {"transaction", "modern_deposit"}:
-        seen[legacy.FIRST + "transaction"] = start["transaction"]
+        seen[FIRST + "transaction"] = start["transaction"]
         seen[legacy.TXN_VERSIONS] = keep(transaction_versions(fresh.get("transaction"), deposits, t))
     changes = [fresh["customer_account"]] if "customer_account" in given else []
     changes += [made["customer_account"]] if "customer_account" in made else []
     if changes:
-        seen[legacy.FIRST + "customer_account"] = start["customer_account"]
+        seen[FIRST + "customer_account"] = start["customer_account"]
         seen[legacy.ACCOUNT_EVENTS] = union_all(changes)
 
     def legacy_feed(name: str) -> DataFrame | None:

@@ -34,6 +34,7 @@ from duosync.operators.generate import (
     verification_rows,
 )
 from duosync.operators.lookup import (
+    during,
     enrich,
     enrich_as_of,
     find_or_create,
@@ -45,7 +46,7 @@ from duosync.operators.lookup import (
     same_day,
     update_from,
 )
-from duosync.operators.merge import one_primary
+from duosync.operators.merge import compare_and_set, one_primary
 from duosync.operators.ordered import running
 from duosync.operators.rejects import (
     MODERN_TO_LEGACY,
@@ -56,6 +57,7 @@ from duosync.operators.rejects import (
 )
 from duosync.operators.route import MODERN, has_changed, is_true, touching, went
 from duosync.plans.lineage import no_cut
+from duosync.plans.versions import VERSIONS, ranges_of
 from duosync.sources.feeds import as_events, diff_snapshots
 from duosync.sources.schemas import VERIFICATION, schema
 
@@ -514,7 +516,10 @@ def decide_in_waves(
 
 
 def verified_deposits(df: DataFrame, tables: Tables) -> DataFrame:
-    """The micro-deposit verification that an activated account completes."""
+    """The micro-deposit verification that an activated account completes, as it is before the event.
+
+    ``ver_from`` is the number of the image it is read from, -1 for the stored one.
+    """
     out = df.withColumns(
         {
             "routing_number": _new("routing_number"),
@@ -525,28 +530,41 @@ def verified_deposits(df: DataFrame, tables: Tables) -> DataFrame:
         }
     )
     account = ["routing_number", "account_number", "bank_type"]
+    keys = [*account, "credit_account_id", "day"]
     banks = tables["bank_account"].select(
         F.col("id").alias("bank_account_id"),
         F.col("aba_number").alias("routing_number"),
         "account_number",
         F.col("account_type").alias("bank_type"),
     )
-    started = tables["verification"].filter(
-        (F.col("verification_type") == "MicroDeposit")
-        & (F.col("is_migrated") == codes.MIGRATED)
-    )
-    ver = inner(restrict(banks, out, account), started, ["bank_account_id"]).select(
-        *account,
-        "credit_account_id",
-        same_day("created_date").alias("day"),
-        F.col("bank_account_verification_id").alias("ver_id"),
-        F.col("work_case_id").alias("ver_case"),
-        F.col("verified_date").alias("ver_date"),
-        F.col("created_date").alias("ver_created"),
-    )
-    return latest(
-        out, ver, [*account, "credit_account_id", "day"],
-        [F.col("ver_created"), F.col("ver_id")],
+    banks = restrict(banks, out, account)
+
+    def started(table: DataFrame, *more: str) -> DataFrame:
+        return inner(banks, _migrated_deposits(table), ["bank_account_id"]).select(
+            *account,
+            "credit_account_id",
+            same_day("created_date").alias("day"),
+            F.col("bank_account_verification_id").alias("ver_id"),
+            F.col("work_case_id").alias("ver_case"),
+            F.col("verified_date").alias("ver_date"),
+            F.col("created_date").alias("ver_created"),
+            *more,
+        )
+
+    order = ["ver_created", "ver_id"]
+    cols = [*order, "ver_case", "ver_date"]
+    if VERSIONS + "verification" not in tables:
+        found = latest(out, started(tables["verification"]), keys, [F.col(c) for c in order])
+        return found.withColumn("ver_from", F.lit(-1).cast("long"))
+    ranges = ranges_of(tables, "verification", "bank_account_verification_id", started, keys, order)
+    ranges = ranges.withColumn("ver_from", F.col("_from"))
+    found = during(out, ranges, keys, "seq", [F.col(c) for c in order], [*cols, "ver_from"], "_found")
+    return found.drop("_found")
+
+
+def _migrated_deposits(verification: DataFrame) -> DataFrame:
+    return verification.filter(
+        (F.col("verification_type") == "MicroDeposit") & (F.col("is_migrated") == codes.MIGRATED)
     )
 
 
@@ -614,8 +632,8 @@ def apply_modern_accounts(
             ),
         ]
     )
-    verified = pick_one(
-        fine.filter("is_verify AND ver_date IS NULL"), ["ver_id"], [F.col("seq")], newest=False
+    verified = compare_and_set(
+        fine.filter("is_verify"), ["ver_id", "ver_from"], "seq", F.col("ver_date"), updated
     )
     audits = union_all(
         [
@@ -813,9 +831,8 @@ def decide_accounts(
     # Events that are rejected for want of a verification must leave no trace in what later
     # events find, so this is known before anything else.
     ev = cut(ev.withColumns(_gates()))
-    hit = verified_deposits(ev.filter("is_verify").select("event_id", "after"), tables).select(
-        "event_id", "ver_id", "ver_case", "ver_date"
-    )
+    hit = verified_deposits(ev.filter("is_verify").select("event_id", "seq", "after"), tables)
+    hit = hit.select("event_id", "ver_id", "ver_case", "ver_date", "ver_from")
     ev = ev.join(hit, ["event_id"], "left")
     ev = ev.withColumn("unverified", F.col("is_verify") & F.col("ver_id").isNull())
     accounts = restrict(tables["customer_account"], ev, ACCOUNT_KEY)
@@ -1021,23 +1038,26 @@ def _with_verification(out: DataFrame, tables: Tables, wanted: DataFrame) -> Dat
             "_own": ("last", F.when(F.col("starts"), F.struct(own_id.alias("id"), own_case.alias("uc")))),
         },
     )
-    stored = (
-        tables["verification"]
-        .filter(
-            (F.col("is_migrated") == codes.MIGRATED)
-            & (F.col("verification_type") == "MicroDeposit")
-        )
-        .select(
+
+    def stored(table: DataFrame, *more: str) -> DataFrame:
+        found = _migrated_deposits(table).select(
             F.col("bank_account_id").alias("bank_id"),
             "credit_account_id",
-            F.col("bank_account_verification_id").alias("id"),
-            F.col("work_case_id").alias("uc"),
+            F.struct(
+                F.col("bank_account_verification_id").alias("id"), F.col("work_case_id").alias("uc")
+            ).alias("_row"),
+            *more,
         )
-    )
-    counted = restrict(stored, wanted, keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_stored"), F.min(F.struct("id", "uc")).alias("_row")
-    )
-    out = out.join(counted, keys, "left")
+        return restrict(found, wanted, keys)
+
+    if VERSIONS + "verification" in tables:
+        ranges = ranges_of(tables, "verification", "bank_account_verification_id", stored, keys, ["_row"])
+        out = during(out, ranges, keys, "seq", [F.col("_row")], ["_row"], "_stored")
+    else:
+        counted = stored(tables["verification"]).groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_stored"), F.min("_row").alias("_row")
+        )
+        out = out.join(counted, keys, "left")
     n = F.coalesce(F.col("_stored"), F.lit(0)) + F.col("_started")
     one = F.coalesce(F.col("_row"), F.col("_own"))
     return out.withColumns(
