@@ -44,53 +44,52 @@ def test_nothing_to_write(spark):
     assert compare_and_set(ev, ["k", "w"], "seq", F.col("old"), F.col("new")).collect() == []
 
 
-def world(spark):
-    bank = {"aba_number": "R1", "account_number": "ACCOUNT2", "account_type": "Savings"}
-    return tables(
-        spark,
-        credit_account=[{"credit_account_id": 1002, "customer_id": 2}],
-        bank_account=[{"id": 2, **bank}],
-        customer_account=[stored(2, 2)],
-        verification=[ver(2, is_migrated=2, work_case_id=502)],
-    )
-
-
-def image(seq, date, result):
-    old = ver(2, is_migrated=2, work_case_id=502)
-    new = {**old, "verified_date": date, "result": result}
-    return {"seq": seq, "op": "U", "old": old, "new": new, "cols": ["verified_date", "result"]}
+EARLY = DAY - timedelta(days=3)
+# By customer: legacy images (seq, date, result), numbers of modern verifications, the date and audits they leave.
+CASES = {
+    # A legacy date after the modern verification: that one takes effect, then the image wins.
+    2: ([(92, EARLY, "Pass")], [52], EARLY, 1),
+    # A legacy date before it: the guard holds.
+    3: ([(33, EARLY, "Pass")], [53], EARLY, 0),
+    # Two verifications: the second finds a date.
+    4: ([], [54, 64], LATER, 1),
+    # A legacy image takes the date back between them, so both take effect.
+    5: ([(75, None, "StepUp")], [55, 95], LATER, 2),
+}
 
 
-def verified(spark, images, proofs, cuts):
-    feeds = {"verification": feed(spark, "verification", images)} if images else {}
-    feeds["modern_account"] = feed(spark, "modern_account", [update(2, PROVE, seq=s) for s in proofs])
-    done = in_parts(spark, feeds, world(spark), cuts)
-    (row,) = [r for r in rows(done[0]["verification"]) if r[VER] == 2]
-    lines = [a for a in done[1].get("audit", []) if "RCLOSED" in a]
-    return done, row["verified_date"], len(lines)
+def migrated(n, **more):
+    return ver(n, is_migrated=2, work_case_id=500 + n, **more)
 
 
-EARLY = DAY - timedelta(days=3)
+def world(spark):
+    bank = {"aba_number": "R1", "account_type": "Savings"}
+    return tables(
+        spark,
+        credit_account=[{"credit_account_id": n + 1000, "customer_id": n} for n in CASES],
+        bank_account=[{"id": n, "account_number": f"ACCOUNT{n}", **bank} for n in CASES],
+        customer_account=[stored(n, 2) for n in CASES],
+        verification=[migrated(n) for n in CASES],
+    )
 
 
-@pytest.mark.parametrize(
-    "images, proofs, date, n_audits",
-    [
-        # A legacy date after the modern verification: that one takes effect, then the image wins.
-        ([(9, EARLY, "Pass")], [5], EARLY, 1),
-        # A legacy date before it: the guard holds.
-        ([(3, EARLY, "Pass")], [5], EARLY, 0),
-        # Two verifications: the second finds a date.
-        ([], [5, 6], LATER, 1),
-        # A legacy image takes the date back between them, so both take effect.
-        ([(7, None, "StepUp")], [5, 9], LATER, 2),
-    ],
-)
-def test_a_legacy_date_around_a_modern_verification(spark, images, proofs, date, n_audits):
-    once = verified(spark, [image(*i) for i in images], proofs, [])
-    assert once[1:] == (date, n_audits)
-    for cuts in ([6], [4, 8]):
-        several = verified(spark, [image(*i) for i in images], proofs, cuts)
-        assert several[1:] == (date, n_audits), cuts
-        assert state(several[0][0]) == state(once[0][0]), cuts
-        assert several[0][1] == once[0][1], cuts
+def image(n, seq, date, result):
+    new = migrated(n, verified_date=date, result=result)
+    return {"seq": seq, "op": "U", "old": migrated(n), "new": new, "cols": ["verified_date", "result"]}
+
+
+def test_legacy_dates_around_modern_verifications(spark):
+    feeds = {
+        "verification": feed(spark, "verification", [image(n, *i) for n, c in CASES.items() for i in c[0]]),
+        "modern_account": feed(spark, "modern_account", [
+            update(n, PROVE, seq=s) for n, c in CASES.items() for s in c[1]
+        ]),
+    }
+    once = in_parts(spark, feeds, world(spark), [])
+    dates = {r[VER]: r["verified_date"] for r in rows(once[0]["verification"])}
+    assert dates == {n: c[2] for n, c in CASES.items()}
+    closed = [line for line in once[1]["audit"] if "RCLOSED" in line]
+    assert len(closed) == sum(c[3] for c in CASES.values())
+    several = in_parts(spark, feeds, world(spark), [60])
+    assert state(several[0]) == state(once[0])
+    assert several[1] == once[1]
