@@ -24,6 +24,25 @@ def _others(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in set(keys)]
 
 
+def join_reduced(ev: DataFrame, reduced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a frame with at most one row per key, whatever share of the events one key has.
+
+    Events without a key match nothing and need not meet: a number made of the event spreads them. As it is one more
+    join key, the reduced side is shuffled anew after its aggregate, and Spark can split the partition of a hot
+    key, which it does only where plain shuffles lie under the join.
+    """
+    keys = list(keys)
+    known = all_of([F.col(k).isNotNull() for k in keys])
+    event = [c for c in ("event_id", "seq") if c in ev.columns] or ev.columns
+    spread = F.when(known, F.lit(0).cast("long")).otherwise(F.xxhash64(*event))
+    # Always 0, but not a literal, which would make the condition one of the events alone.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    joined = ev.withColumn("_spread", spread).join(
+        reduced.withColumn("_spread", zero), [*keys, "_spread"], "left"
+    )
+    return joined.drop("_spread")
+
+
 def inner(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, list(keys), "inner")
 
@@ -69,7 +88,7 @@ def enrich(
     keys = list(keys)
     dim = restrict(dim, ev if wanted is None else wanted, keys)
     order = [F.struct(*_others(dim, keys))] if order is None else order
-    return ev.join(pick_one(dim, keys, order, newest=False), keys, "left")
+    return join_reduced(ev, pick_one(dim, keys, order, newest=False), keys)
 
 
 def first_match(
@@ -96,7 +115,7 @@ def latest(
     if pred is not None:
         fact = fact.filter(pred)
     fact = restrict(fact, ev if wanted is None else wanted, keys)
-    return ev.join(pick_one(fact, keys, order, newest=True), keys, "left")
+    return join_reduced(ev, pick_one(fact, keys, order, newest=True), keys)
 
 
 def same_day(c: Column | str) -> Column:
@@ -123,7 +142,7 @@ def lookup_one(
         F.count(F.lit(1)).alias(found), F.min(F.struct(*rest)).alias("_row")
     )
     single = F.col(found) == 1
-    out = ev.join(counted, keys, "left").withColumns(
+    out = join_reduced(ev, counted, keys).withColumns(
         {c: F.when(single, F.col(f"_row.{c}")) for c in rest}
     )
     return out.withColumn(found, F.coalesce(F.col(found), F.lit(0))).drop("_row")
@@ -143,7 +162,7 @@ def exists_flag(
     keys = list(keys)
     known = dim.select(*keys).distinct().withColumn("_hit", F.lit(True))
     return (
-        ev.join(known, keys, "left")
+        join_reduced(ev, known, keys)
         .withColumn(flag, F.col("_hit").isNotNull())
         .drop("_hit")
     )
@@ -167,7 +186,7 @@ def find_or_create(
     has_key = all_of([F.col(k).isNotNull() for k in keys])
     # The dimension is restricted and reduced once; who finds no id there is unknown to it.
     ids = restrict(dim.select(*keys, id_col), ev, keys).groupBy(*keys).agg(F.min(id_col).alias(id_col))
-    known = ev.join(ids, keys, "left")
+    known = join_reduced(ev, ids, keys)
     unknown = known.filter(F.col(id_col).isNull()).drop(id_col)
     makers = pick_one(unknown.filter(has_key), keys, [F.col(seq)], newest=False)
     new = make(makers.unionByName(unknown.filter(~has_key)))
