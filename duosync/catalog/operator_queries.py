@@ -285,6 +285,22 @@ def as_of(d: Data) -> DataFrame:
     return out.select("event_id", "user_id", "order_id")
 
 
+def compare_and_set(d: Data) -> DataFrame:
+    """Clicks that fill a user's cell: purchases of 50 or more set it, cheaper ones clear it, and a click of 20
+    or more sets it only while it is empty."""
+    ev = d.events.select("event_id", "user_id", "event_type", "value")
+    plain_writes = ev.filter("event_type = 'purchase'").select(
+        "user_id", "event_id", F.when(F.col("value") >= 50, F.col("value")).alias("there"),
+        F.col("event_id").alias("written"),
+    )
+    clicks = ev.filter("event_type = 'click'").select("event_id", "user_id", "value")
+    seen = lookup.enrich_as_of(clicks, plain_writes, ["user_id"], "event_id", ["there", "written"])
+    seen = seen.withColumn("written", F.coalesce("written", F.lit(-1)))
+    filled = F.when(F.col("value") >= 20, F.col("value"))
+    out = merge.compare_and_set(seen, ["user_id", "written"], "event_id", F.col("there"), filled)
+    return out.select("event_id", "user_id")
+
+
 def attempts(d: Data) -> DataFrame:
     locks = d.events.select("user_id", F.date_trunc("week", "ts").alias("week")).distinct()
     counted = deposits.attempts(d.sql(S.ATTEMPT), ["user_id", "week"])
@@ -606,6 +622,7 @@ QUERIES = {
     "find_or_create_new": find_or_create_new,
     "update_from": update_from,
     "as_of": as_of,
+    "compare_and_set": compare_and_set,
     "attempts": attempts,
     "prior_attempts": prior_attempts,
     "pivot3": pivot3,

@@ -170,6 +170,13 @@ OPERATOR_SQL = {
       e AS (SELECT event_id, user_id, ts - INTERVAL 25 YEAR AS moment FROM events)
       SELECT event_id, user_id, order_id FROM e ASOF LEFT JOIN h
         ON user_id = o_custkey AND moment >= o_orderdate""",
+    "compare_and_set": """WITH c AS (SELECT event_id, user_id, (SELECT max(p.event_id) FROM events p
+          WHERE p.user_id = e.user_id AND p.event_type = 'purchase' AND p.event_id < e.event_id) AS base
+        FROM events e WHERE event_type = 'click')
+      SELECT c.event_id, c.user_id FROM c LEFT JOIN events p ON p.event_id = c.base
+      WHERE (p.event_id IS NULL OR p.value IS NULL OR p.value < 50) AND NOT EXISTS (
+        SELECT 1 FROM events g WHERE g.user_id = c.user_id AND g.event_type = 'click' AND g.value >= 20
+          AND g.event_id < c.event_id AND g.event_id > coalesce(c.base, -1))""",
     "attempts": f"""SELECT k.user_id, k.week, attempts,
         CASE WHEN attempts = 3 THEN 'Y' ELSE 'N' END AS lock_by_count,
         CASE WHEN attempts IS NOT NULL THEN 'Y' ELSE 'N' END AS lock_by_row
