@@ -56,6 +56,7 @@ from duosync.operators.rejects import (
     union_all,
 )
 from duosync.operators.route import MODERN, has_changed, is_true, touching, went
+from duosync.operators.scan import WIDTH, let, states_before
 from duosync.plans.lineage import no_cut
 from duosync.plans.versions import VERSIONS, ranges_of
 from duosync.sources.feeds import as_events, diff_snapshots
@@ -264,6 +265,7 @@ def _gates() -> dict[str, Column]:
         "is_delete": update & is_true(kind == "DELETE"),
         "is_active": is_true(_new("result") == "ACTIVE"),
         "old_checking": is_true(_old("account_type") == "CHK"),
+        "old_savings": is_true(_old("account_type") == "SAV"),
         "new_type": recode_account_type(_new("account_type"), "short", "id", None),
     }
 
@@ -395,96 +397,231 @@ def _count(which: str) -> Column:
     )
 
 
-def decide(df: DataFrame, *, fix_exists: bool = False) -> DataFrame:
-    """Turn the rows an event finds into what it does."""
-    old_checking, new_type = F.col("old_checking"), F.col("new_type")
+Get = Callable[[str], Column]
+
+
+def _lookups(c: Get, fix_exists: bool) -> dict[str, Column]:
+    """What an event reads off the two rows it finds; ``c`` gives a column of the event or the rows."""
+    old_checking, new_type = c("old_checking"), c("new_type")
     # An insert has no old image, so its lookup goes for savings.
     looks_checking = (
-        F.when(F.col("op") == "I", is_true(new_type == CHECKING)).otherwise(old_checking)
+        F.when(c("op") == "I", is_true(new_type == CHECKING)).otherwise(old_checking)
         if fix_exists
         else old_checking
     )
 
     def by_type(cond: Column, what: str) -> Column:
         check, save = (
-            (F.col(f"check_row.{what}"), F.col(f"save_row.{what}"))
-            if what != "n"
-            else (F.col("n_check"), F.col("n_save"))
+            (c("check_row")[what], c("save_row")[what]) if what != "n" else (c("n_check"), c("n_save"))
         )
         return F.when(cond, check).otherwise(save)
 
-    exists = by_type(looks_checking, "n") > 0
-    df = df.withColumns(
-        {
-            "exists": exists,
-            "found_id": by_type(looks_checking, "id"),
-            "found_primary": by_type(looks_checking, "is_primary"),
-            # Strict lookups: by the new type, by the old type, by the old type with
-            # everything but checking taken as savings.
-            "n_new": F.when(new_type.isNull(), 0).otherwise(by_type(new_type == CHECKING, "n")),
-            "new_id": F.when(new_type.isNotNull(), by_type(new_type == CHECKING, "id")),
-            "n_old": F.when(old_checking, F.col("n_check"))
-            .when(_old("account_type") == "SAV", F.col("n_save"))
-            .otherwise(0),
-            "old_id": by_type(old_checking, "id"),
-            "n_gone": by_type(old_checking, "n"),
-        }
-    )
-    vtype, res = _new("verification_type"), _new("result")
-    registers = F.col("is_add") & ~F.col("exists")
-    promotes = F.col("is_promotion") & F.col("exists") & is_true(F.col("found_primary") != 1)
-    stopped = promotes & (F.col("n_new") == 0)
+    return {
+        "exists": by_type(looks_checking, "n") > 0,
+        "found_id": by_type(looks_checking, "id"),
+        "found_primary": by_type(looks_checking, "is_primary"),
+        # Strict lookups: by the new type, by the old type, by the old type with
+        # everything but checking taken as savings.
+        "n_new": F.when(new_type.isNull(), 0).otherwise(by_type(new_type == CHECKING, "n")),
+        "new_id": F.when(new_type.isNotNull(), by_type(new_type == CHECKING, "id")),
+        "n_old": F.when(old_checking, c("n_check"))
+        .when(c("old_savings"), c("n_save"))
+        .otherwise(0),
+        "old_id": by_type(old_checking, "id"),
+        "n_gone": by_type(old_checking, "n"),
+    }
+
+
+def _outcomes(c: Get) -> dict[str, Column]:
+    """What an event does, from its gates and ``_lookups``."""
+    old_checking, new_type = c("old_checking"), c("new_type")
+    registers = c("is_add") & ~c("exists")
+    promotes = c("is_promotion") & c("exists") & is_true(c("found_primary") != 1)
+    stopped = promotes & (c("n_new") == 0)
     other_type = is_true(F.when(old_checking, CHECKING).otherwise(SAVINGS) != new_type)
-    retypes = F.col("is_retype") & F.col("exists") & other_type & ~stopped
-    ambiguous = (
-        (promotes & (F.col("n_new") > 1))
-        | (retypes & (F.col("n_old") > 1))
-        | (F.col("is_delete") & (F.col("n_gone") > 1))
-    )
-    return df.withColumns(
-        {
-            "registers": registers,
-            "steps_up": registers
-            & is_true(
-                (vtype.isNull() & (res == "PENDING_ACH_VERIFICATION"))
-                | ((vtype == "AGENT") & (res == "ACTIVE"))
-            ),
-            "opens": (registers & F.col("is_active")) | (F.col("is_move") & ~F.col("exists")),
-            "ambiguous": ambiguous,
-            "promotes": promotes & (F.col("n_new") == 1),
-            "logs_route": F.col("is_reroute") & ~stopped,
-            "retypes": retypes & (F.col("n_old") == 1),
-            "removes": F.col("is_delete") & (F.col("n_gone") == 1),
-            "misses": F.col("is_delete") & (F.col("n_gone") == 0),
-        }
-    )
+    retypes = c("is_retype") & c("exists") & other_type & ~stopped
+    return {
+        "registers": registers,
+        "opens": (registers & c("is_active")) | (c("is_move") & ~c("exists")),
+        "ambiguous": (promotes & (c("n_new") > 1))
+        | (retypes & (c("n_old") > 1))
+        | (c("is_delete") & (c("n_gone") > 1)),
+        "promotes": promotes & (c("n_new") == 1),
+        "logs_route": c("is_reroute") & ~stopped,
+        "retypes": retypes & (c("n_old") == 1),
+        "removes": c("is_delete") & (c("n_gone") == 1),
+        "misses": c("is_delete") & (c("n_gone") == 0),
+    }
 
 
-def _retype_entries(decided: DataFrame) -> DataFrame:
-    """What a wave leaves behind for the next: openings, removals and type changes."""
-    nothing = F.lit(None)
-    applied = decided.filter(~F.col("ambiguous") & ~F.col("unverified"))
-    base = [*ACCOUNT_KEY]
-    opened = applied.filter("opens AND new_type IS NOT NULL").select(
-        *base, F.col("new_type").alias("account_type_id"), "seq",
-        _row(F.lit(True), numeric_id("seq", "account"), F.lit(0)),
-        # A checking row opened beside another makes two.
-        ((F.col("new_type") == CHECKING) & (F.col("n_check") > 0)).alias("several"),
+def decide(df: DataFrame, *, fix_exists: bool = False) -> DataFrame:
+    """Turn the rows an event finds into what it does."""
+    df = df.withColumns(_lookups(F.col, fix_exists)).withColumns(_outcomes(F.col))
+    vtype, res = _new("verification_type"), _new("result")
+    steps_up = F.col("registers") & is_true(
+        (vtype.isNull() & (res == "PENDING_ACH_VERIFICATION"))
+        | ((vtype == "AGENT") & (res == "ACTIVE"))
     )
-    old_type = F.when(F.col("old_checking"), CHECKING).otherwise(SAVINGS)
-    left = applied.filter("removes OR retypes").select(
-        *base, old_type.alias("account_type_id"), "seq",
-        _row(F.lit(False), nothing, nothing), F.lit(False).alias("several"),
+    return df.withColumn("steps_up", steps_up)
+
+
+# The two rows of an account as a state. ``src`` says that a row is still the savings (1) or the
+# checking row (2) a chunk of events began with, whose id is not known inside the chunk.
+_SLOT = "struct<alive: boolean, id: bigint, is_primary: int, src: int>"
+_STATE = f"struct<save: {_SLOT}, save_several: boolean, check: {_SLOT}, check_several: boolean>"
+# What a lookup can tell of a row: none; one or several, each with the flag NULL, not 1, or 1.
+_FLAGS = (None, 0, 1)
+_CLASSES = 1 + 2 * len(_FLAGS)
+
+
+def _slot(alive: bool | Column, account_id: Column | None, primary: Column | int | None, src: int = 0) -> Column:
+    values = (alive, account_id, primary, src)
+    return F.struct(*[v if isinstance(v, Column) else F.lit(v) for v in values]).cast(_SLOT)
+
+
+def _state(save: Column, save_several: Column, check: Column, check_several: Column) -> Column:
+    return F.struct(save, save_several, check, check_several).cast(_STATE)
+
+
+def _class(state: Column, which: str) -> Column:
+    primary = state[which]["is_primary"]
+    flag = F.when(primary.isNull(), 1).when(primary == 1, 3).otherwise(2)
+    several = state[f"{which}_several"]
+    return F.when(several, flag + len(_FLAGS)).when(state[which]["alive"], flag).otherwise(0)
+
+
+def _beginnings() -> list[Column]:
+    """A state for each pair of classes, in the order of ``_carry``."""
+
+    def row(k: int, src: int) -> Column:
+        return _slot(True, None, _FLAGS[(k - 1) % len(_FLAGS)], src) if k else _slot(False, None, None)
+
+    both = [(a, b) for a in range(_CLASSES) for b in range(_CLASSES)]
+    several = len(_FLAGS)
+    return [_state(row(a, 1), F.lit(a > several), row(b, 2), F.lit(b > several)) for a, b in both]
+
+
+def _carry(state: Column, ends: Column) -> Column:
+    """The state after a chunk: the end for the state's class, with the state's own rows put in."""
+
+    def place(end: Column, which: str) -> Column:
+        src = end[which]["src"]
+        return F.when(src == 1, state["save"]).when(src == 2, state["check"]).otherwise(end[which])
+
+    end = F.get(ends, _class(state, "save") * _CLASSES + _class(state, "check"))
+    return let(
+        end,
+        lambda e: _state(place(e, "save"), e["save_several"], place(e, "check"), e["check_several"]),
     )
-    entered = applied.filter("retypes").select(
-        *base, F.col("new_type").alias("account_type_id"), "seq",
-        _row(F.lit(True), F.col("old_id"), F.col("found_primary")),
-        (F.col("n_new") > 0).alias("several"),
+
+
+def _found_row(state: Column, which: str) -> dict[str, Column]:
+    n = F.when(state[f"{which}_several"], 2).when(state[which]["alive"], 1).otherwise(0)
+    return {f"{which}_row": state[which], f"n_{which}": n}
+
+
+def _move_on(fix_exists: bool) -> Callable[[Column, Column], Column]:
+    """The step of an account's state: an event does what ``decide`` says, an entry is what it is."""
+    gone = _slot(False, None, None)
+
+    def by_event(state: Column, item: Column) -> Column:
+        rows = {**_found_row(state, "save"), **_found_row(state, "check")}
+        seen = _lookups(lambda n: rows[n] if n in rows else item[n], fix_exists)
+        known = {**rows, **seen}
+        does = _outcomes(lambda n: known[n] if n in known else item[n])
+        applied = ~does["ambiguous"] & ~item["unverified"]
+        told = F.struct(
+            *[(applied & does[n]).alias(n) for n in ("opens", "retypes", "removes")],
+            *[F.coalesce(seen[n], F.lit(0)).alias(n) for n in ("n_new",)],
+        )
+        return let(told, lambda t: moved(state, item, t))
+
+    def moved(state: Column, item: Column, t: Column) -> Column:
+        opened = _slot(True, item["account"], 0)
+        old = F.when(item["old_checking"], state["check"]).otherwise(state["save"])
+
+        def of(which: str, kind: int, was: Column) -> tuple[Column, Column]:
+            enters = is_true(item["new_type"] == kind)
+            row = (
+                F.when(t["opens"] & enters, opened)
+                .when(t["retypes"] & enters, old)
+                .when((t["retypes"] | t["removes"]) & was, gone)
+                .otherwise(state[which])
+            )
+            doubles = (t["opens"] | t["retypes"]) & enters & (t["n_new"] > 0)
+            return row, state[f"{which}_several"] | doubles
+
+        return _state(
+            *of("save", SAVINGS, ~item["old_checking"]), *of("check", CHECKING, item["old_checking"])
+        )
+
+    def by_entry(state: Column, item: Column) -> Column:
+        row = item["row"]
+        as_slot = _slot(row["alive"], row["id"], row["is_primary"])
+
+        def of(which: str, kind: int) -> tuple[Column, Column]:
+            here = is_true(item["account_type_id"] == kind)
+            several = state[f"{which}_several"] | (here & item["several"])
+            return F.when(here, as_slot).otherwise(state[which]), several
+
+        return _state(*of("save", SAVINGS), *of("check", CHECKING))
+
+    return lambda state, item: F.when(item["is_event"], by_event(state, item)).otherwise(by_entry(state, item))
+
+
+def find_in_order(
+    ev: DataFrame,
+    entries: DataFrame,
+    *,
+    fix_exists: bool = False,
+    width: int | None = None,
+    cut: Cut = no_cut,
+) -> DataFrame:
+    """As ``find_accounts``, for accounts whose events move rows between types.
+
+    What such an event does depends on the row it finds, and what later ones find on what it
+    does, so the two rows of an account are run through as a state (``scan.states_before``).
+    """
+    no = F.lit(False)
+    gates = ["op", "is_add", "is_active", "is_move", "is_promotion", "is_retype", "is_reroute", "is_delete",
+             "old_checking", "old_savings", "new_type", "unverified"]
+    event = {c: F.col(c) if c in ("op", "new_type") else F.coalesce(c, no) for c in gates}
+    event |= {
+        "is_event": F.lit(True), "account": numeric_id("seq", "account"), "several": no,
+        "account_type_id": F.lit(None).cast("int"), "row": F.lit(None).cast(_ROW),
+    }
+    marks = [c for c in gates if c not in ("op", "new_type")]
+    entry = {c: no if c in marks else F.lit(None) for c in gates}
+    entry |= {
+        "is_event": no, "account": F.lit(None), "several": F.coalesce("several", no),
+        "account_type_id": F.col("account_type_id"), "row": F.col("row"),
+    }
+
+    def laid(df: DataFrame, fields: dict[str, Column], event_id: Column) -> DataFrame:
+        flat = df.select(*ACCOUNT_KEY, "seq", event_id.alias("event_id"), *[v.alias(k) for k, v in fields.items()])
+        return flat.withColumn("account", F.col("account").cast("long"))
+
+    line = laid(ev, event, F.col("event_id")).unionByName(laid(entries, entry, F.lit(None).cast("string")))
+    line = line.select(*ACCOUNT_KEY, "seq", F.struct("event_id", *event).alias("_item"))
+    none = _slot(False, None, None)
+    met = states_before(
+        line, ACCOUNT_KEY, "seq", "_item",
+        step=_move_on(fix_exists), start=_state(none, F.lit(False), none, F.lit(False)),
+        starts=_beginnings(), apply=_carry, width=width or WIDTH, cut=cut,
+    )
+    state = F.col("found")
+    columns = {**_found_row(state, "save"), **_found_row(state, "check")}
+    for which in ("save", "check"):
+        columns[f"{which}_row"] = F.when(
+            state[which]["alive"], _row(state[which]["alive"], state[which]["id"], state[which]["is_primary"])
+        )
+    met = met.filter("_item.is_event").select(
+        F.col("_item.event_id").alias("event_id"), *[v.alias(k) for k, v in columns.items()]
     )
-    return opened.unionByName(left).unionByName(entered)
+    return ev.join(met, ["event_id"])
 
 
-def decide_in_waves(
+def decide_in_order(
     ev: DataFrame,
     entries: DataFrame,
     *,
@@ -492,24 +629,31 @@ def decide_in_waves(
     width: int | None = None,
     cut: Cut = no_cut,
 ) -> DataFrame:
-    """Decide all events of a batch.
+    """Decide all events of a batch, each on the rows that the events before it leave.
 
-    A type change moves an existing row, so events after it on the same account wait for the
-    next wave. The number of waves is one more than the most type changes on one account.
-    ``ev`` has the columns of ``_gates`` and ``unverified``.
+    ``ev`` has the columns of ``_gates`` and ``unverified``. Accounts with events after a type
+    change go through ``find_in_order``, all others through running values. Either way the number
+    of passes is fixed, however many type changes an account has.
     """
     changes = is_true(has_changed(["account_type"])) & (F.col("op") == "U")
-    ev = cut(running(ev, ACCOUNT_KEY, "seq", {"_wave": ("count", changes)}, width=width))
-    waves = 1 + (ev.agg(F.max("_wave").alias("w")).first().w or 0)
-    decided = None
-    for wave in range(waves):
-        part = ev.filter(F.col("_wave") == wave).drop("_wave")
-        found = find_accounts(part, entries, fix_exists=fix_exists, width=width)
-        step = cut(decide(found, fix_exists=fix_exists))
-        decided = step if decided is None else decided.unionByName(step)
-        if wave + 1 < waves:
-            entries = entries.unionByName(_retype_entries(step))
-    return decided
+    ev = cut(running(ev, ACCOUNT_KEY, "seq", {"_changes": ("count", changes)}))
+    moving = cut(ev.filter("_changes > 0").select(*ACCOUNT_KEY).distinct())
+    ev = ev.drop("_changes")
+    if moving.isEmpty():
+        return cut(decide(find_accounts(ev, entries, fix_exists=fix_exists), fix_exists=fix_exists))
+    still = find_accounts(
+        ev.join(moving, ACCOUNT_KEY, "left_anti"),
+        entries.join(moving, ACCOUNT_KEY, "left_anti"),
+        fix_exists=fix_exists,
+    )
+    moved = find_in_order(
+        ev.join(moving, ACCOUNT_KEY, "left_semi"),
+        entries.join(moving, ACCOUNT_KEY, "left_semi"),
+        fix_exists=fix_exists,
+        width=width,
+        cut=cut,
+    )
+    return cut(decide(still.unionByName(moved), fix_exists=fix_exists))
 
 
 # ----------------------------------------------------------------------------- external accounts
@@ -838,7 +982,7 @@ def decide_accounts(
     accounts = restrict(tables["customer_account"], ev, ACCOUNT_KEY)
     entries = account_entries(accounts, account_feed)
     entries = cut(restrict(entries, ev, ACCOUNT_KEY))
-    out = decide_in_waves(ev, entries, fix_exists=fix_exists, cut=cut)
+    out = decide_in_order(ev, entries, fix_exists=fix_exists, cut=cut)
 
     # The flag a promotion finds: what the customer's previous promotion of this batch left,
     # else what is stored.
