@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duosync.catalog import standins as S
 from duosync.catalog.standins import Data, plain
@@ -11,7 +12,9 @@ from duosync.functions import codes
 from duosync.functions import columns as C
 from duosync.operators import deposits, generate, lookup, merge, rejects, route
 from duosync.plans.lineage import Scratch
+from duosync.sources import feeds
 from duosync.sources.feeds import pair_images
+from duosync.sources.schemas import schema
 
 NOW = "2026-01-01 12:00:00"
 
@@ -243,6 +246,20 @@ def reject_log(d: Data) -> DataFrame:
     return plain(log.drop("updated_by", "updated_timestamp", "trigger_input", "trigger_name"))
 
 
+def typed_changes(d: Data) -> DataFrame:
+    """Orders as a feed of texts, some of which are no numbers, no times or too large."""
+    row = schema("md_id long, mdamount1 decimal(18,2), verification_attempts int, created_timestamp timestamp")
+    raw = d.sql(S.RAW_DEPOSIT)
+    after = F.struct(*[F.col(f.name) for f in row.fields])
+    envelope = raw.select(
+        "event_id", "seq", F.lit("I").alias("op"), F.lit(None).cast("string").alias("origin"),
+        F.lit(None).cast("array<string>").alias("updated_cols"),
+        F.lit(None).cast(T.StructType([T.StructField(f.name, T.StringType()) for f in row.fields])).alias("before"),
+        after.alias("after"),
+    )
+    return plain(feeds.typed_changes(envelope, row).select("event_id", "seq", "after.*", "error"))
+
+
 def exists_flag(d: Data) -> DataFrame:
     users = d.events.select(F.col("user_id").alias("c_custkey"))
     return lookup.exists_flag(d.customer.select("c_custkey"), users, ["c_custkey"])
@@ -617,6 +634,7 @@ QUERIES = {
     "semi_accounts": semi_accounts,
     "lookup_one": lookup_one,
     "reject_log": reject_log,
+    "typed_changes": typed_changes,
     "exists_flag": exists_flag,
     "find_or_create": find_or_create,
     "find_or_create_new": find_or_create_new,

@@ -8,6 +8,7 @@ from duosync.catalog.standins import in_sql
 
 VER, TXN, ATTEMPT = in_sql(S.VER), in_sql(S.TXN), in_sql(S.ATTEMPT)
 ACCOUNT, TGT, SRC = in_sql(S.ACCOUNT), in_sql(S.TGT), in_sql(S.SRC)
+RAW_DEPOSIT = in_sql(S.RAW_DEPOSIT).replace("AS STRING", "AS VARCHAR")
 
 FEED = """
 SELECT *, CASE WHEN prev_id IS NULL THEN 'I' WHEN event_type = 'error' THEN 'D' ELSE 'U' END AS op
@@ -154,6 +155,14 @@ OPERATOR_SQL = {
         1 AS failure_count, 'TRIGGER' AS created_by, TIMESTAMP '{NOW}' AS created_timestamp,
         'EXTERNAL_ACCOUNTS' AS domain
       FROM ({STRICT}) s WHERE n_found <> 1""",
+    "typed_changes": f"""WITH r AS ({RAW_DEPOSIT}), t AS (SELECT event_id, TRY_CAST(seq AS BIGINT) AS seq,
+        TRY_CAST(md_id AS BIGINT) AS md_id, CAST(TRY_CAST(mdamount1 AS DECIMAL(18,2)) AS DOUBLE) AS mdamount1,
+        TRY_CAST(verification_attempts AS INTEGER) AS verification_attempts,
+        TRY_CAST(created_timestamp AS TIMESTAMP) AS created_timestamp FROM r)
+      SELECT *, CASE WHEN mdamount1 IS NULL OR verification_attempts IS NULL OR created_timestamp IS NULL THEN
+        'BAD_VALUE: ' || concat_ws(', ', CASE WHEN mdamount1 IS NULL THEN 'after.mdamount1' END,
+          CASE WHEN verification_attempts IS NULL THEN 'after.verification_attempts' END,
+          CASE WHEN created_timestamp IS NULL THEN 'after.created_timestamp' END) END AS error FROM t""",
     "exists_flag": """SELECT c_custkey, c_custkey IN (SELECT user_id FROM events) AS exists
       FROM customer""",
     "find_or_create": """SELECT event_id, user_id, CASE WHEN user_id IN

@@ -36,6 +36,21 @@ SELECT l_orderkey AS bank_account_verification_id,
 FROM {lineitem}
 """
 
+# Orders as texts. Priority 4 leaves words where a number belongs, priority 5 a currency before the
+# amount, pending orders an amount beyond 16 digits, and custom numbers divisible by 7 no time.
+RAW_DEPOSIT = """
+SELECT CAST(o_orderkey AS STRING) AS event_id, CAST(o_orderkey AS STRING) AS seq,
+  CAST(o_custkey AS STRING) AS md_id,
+  CASE WHEN o_orderpriority = '5-LOW' THEN concat('USD ', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING))
+    WHEN o_orderstatus = 'P' THEN concat('99999999999999999', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING))
+    ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS mdamount1,
+  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN substr(o_orderpriority, 3)
+    ELSE substr(o_orderpriority, 1, 1) END AS verification_attempts,
+  CASE WHEN o_custkey % 7 = 0 THEN concat(substr(CAST(o_orderdate AS STRING), 1, 8), '99')
+    ELSE CAST(o_orderdate AS STRING) END AS created_timestamp
+FROM {orders}
+"""
+
 # Attempts from error events; a lock is a user's week.
 ATTEMPT = """
 SELECT event_id, user_id, date_trunc('week', ts) AS week, ts

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duosync.functions.columns import CHANGE_OFFSET_MICROS, debit_amount
 from duosync.operators.generate import MOST_SEQ, born
 from duosync.operators.lookup import update_from
 from duosync.operators.merge import apply_patches
@@ -35,6 +36,7 @@ from duosync.sources.schemas import (
     APPLIED,
     DEPOSIT_RESULT,
     FEEDS,
+    MONEY,
     TABLES,
     envelope,
     schema,
@@ -42,6 +44,7 @@ from duosync.sources.schemas import (
 
 Tables = dict[str, DataFrame]
 BAD_EVENT = "EVENT_WITHOUT_ID_OR_NUMBER"
+BAD_AMOUNT, BAD_TIME = "AMOUNT_OUT_OF_RANGE", "TIME_OUT_OF_RANGE"
 
 # A batch replaces all rows with a touched key value; the key is also the bucket key.
 REPLACE_KEYS: dict[str, tuple[str, ...]] = {
@@ -107,15 +110,38 @@ def latest_images(feed: DataFrame, row_id: str) -> DataFrame:
 
 
 def unsound(feed: DataFrame) -> DataFrame:
-    """Events without an id, or without a number that ids can be made from."""
+    """Events without an id, or without a number that ids can be made from, and those whose values
+    could not be read (``feeds.typed_changes``)."""
     seq = F.col("seq")
     return feed.filter(
-        F.col("event_id").isNull() | seq.isNull() | (seq < 0) | (seq > MOST_SEQ)
+        F.col("event_id").isNull() | seq.isNull() | (seq < 0) | (seq > MOST_SEQ) | error_of(feed).isNotNull()
     )
 
 
 def sound(feed: DataFrame) -> DataFrame:
-    return feed.filter(F.col("event_id").isNotNull() & F.col("seq").between(0, MOST_SEQ))
+    good = feed.filter(error_of(feed).isNull()).drop("error")
+    return good.filter(F.col("event_id").isNotNull() & F.col("seq").between(0, MOST_SEQ))
+
+
+def error_of(feed: DataFrame) -> Column:
+    return F.col("error") if "error" in feed.columns else F.lit(None).cast("string")
+
+
+def failures() -> dict[str, Column]:
+    """Per feed, why an event that its flow computes with would end in an error; NULL for all others.
+
+    Its flow leaves such an event out. Its image is stored, as the systems keep the row.
+    """
+    amounts = [F.col("after.mdamount1"), F.col("after.mdamount2")]
+    debit = debit_amount(*amounts)
+    later = F.try_add(F.col("after.created_timestamp"), F.expr(f"INTERVAL '{CHANGE_OFFSET_MICROS}' MICROSECOND"))
+    late = F.col("after.created_timestamp").isNotNull() & later.isNull()
+    return {
+        "modern_deposit": F.when(
+            (F.col("op") == "I") & debit.isNotNull() & debit.try_cast(MONEY).isNull(), BAD_AMOUNT
+        ),
+        "modern_account": F.when((F.col("op") == "I") & late, BAD_TIME),
+    }
 
 
 def _row_id(name: str) -> Column:
@@ -128,12 +154,19 @@ def unsound_rejects(feeds: Tables, now: Column) -> list[DataFrame]:
     return [
         rejects(
             unsound(feed), name, MODERN_TO_LEGACY if name.startswith("modern") else LEGACY_TO_MODERN,
-            prefixed_id(name, _row_id(name)), BAD_EVENT, now,
+            prefixed_id(name, _row_id(name)), F.coalesce(error_of(feed), F.lit(BAD_EVENT)), now,
         )
         for name, feed in feeds.items()
     ]
 
 
+def failed_rejects(feed: DataFrame, name: str, why: Column, now: Column) -> DataFrame:
+    """Log rows for the events that their flow can't compute with."""
+    return rejects(
+        feed.filter(why.isNotNull()), name, MODERN_TO_LEGACY, prefixed_id(name, _row_id(name)), why, now
+    )
+
+
 def newer_images(feed: DataFrame, name: str, applied: DataFrame) -> DataFrame:
     """Events that come after the last one whose image the row has already taken."""
     done = applied.filter(F.col("feed") == name).select(
@@ -179,7 +212,8 @@ def run_batch(
     """Apply all feeds to the tables.
 
     ``feeds`` may leave out feeds without events. Events without an id or with a number out of
-    range are rejected. A source row takes an event's image only if that is the newest one it
+    range are rejected, as are those with an ``error``, and those whose amounts or times leave their
+    types' range; each gives one log row, and all others go on. A source row takes an event's image only if that is the newest one it
     has seen: the table ``applied`` says so, also for deleted rows and for earlier batches. Frames that several outputs are cut from
     are written to the checkpoint folder; ``release`` of the result deletes them.
     """
@@ -196,6 +230,11 @@ def run_batch(
     for name in given & {"modern_account", "modern_deposit", "verification", "attempt", "transaction"}:
         t[name] = apply_images(start[name], fresh[name], ROW_IDS[name])
 
+    for name, why in failures().items():
+        if name in given:
+            bad.append(failed_rejects(feeds[name], name, why, now))
+            feeds[name] = feeds[name].filter(why.isNull())
+
     # Stage 1: modern side. Accounts leave users and bank accounts that deposits look up;
     # deposits leave verifications that accounts look up.
     made: Tables = {}

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from duosync.operators.lookup import any_of
 from duosync.operators.ordered import running
 
+BAD_VALUE = "BAD_VALUE"
+
 
 def read_changes(
     spark: SparkSession,
@@ -24,6 +26,41 @@ def read_changes(
     return reader.schema(schema).options(**(options or {})).parquet(path)
 
 
+def typed_changes(raw: DataFrame, row: T.StructType) -> DataFrame:
+    """A feed whose ``seq`` and images are texts, with the images' types and an ``error`` column.
+
+    ``error`` names the values that their types can't hold, and is NULL where all can; such a value
+    is NULL. So one bad value costs its own event only, see ``run_batch``.
+    """
+    wrong = []
+
+    def typed(field: T.StructField, text: Column, name: str) -> Column:
+        value = text.try_cast(field.dataType)
+        wrong.append(F.when(text.isNotNull() & value.isNull(), name))
+        return value.alias(field.name)
+
+    def image(side: str) -> Column:
+        values = [typed(f, F.col(side)[f.name], f"{side}.{f.name}") for f in row.fields]
+        return F.when(F.col(side).isNotNull(), F.struct(*values)).alias(side)
+
+    number = typed(T.StructField("seq", T.LongType()), F.col("seq").cast("string"), "seq")
+    images = [image("before"), image("after")]
+    names = F.concat_ws(", ", *wrong)
+    error = F.when(names != "", F.concat(F.lit(f"{BAD_VALUE}: "), names)).alias("error")
+    return raw.select("event_id", number, "op", "origin", "updated_cols", *images, error)
+
+
+def text_images(row: T.StructType) -> T.StructType:
+    """The schema of such a raw feed."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in row.fields])
+    names = ["event_id", "seq", "op", "origin"]
+    return T.StructType(
+        [T.StructField(n, T.StringType()) for n in names]
+        + [T.StructField("updated_cols", T.ArrayType(T.StringType()))]
+        + [T.StructField(n, texts) for n in ("before", "after")]
+    )
+
+
 def read_dim(
     spark: SparkSession,
     path: str,
