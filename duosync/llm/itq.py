@@ -282,7 +282,9 @@ def link_vectors(
     total = nodes.agg(F.count("*"), F.max(F.length("vector"))).first()
     if total[0]:
         dims = total[1] // np.dtype(dtype).itemsize
-        drawn = nodes.orderBy(F.xxhash64("digest"), "digest").limit(sample).select("vector").collect()
+        # By a share of the hash range: tasks send what they draw, ``sample`` vectors together on average.
+        share = F.pmod(F.xxhash64("digest"), F.lit(1 << 40)) < int((1 << 40) * min(1, sample / total[0]))
+        drawn = nodes.filter(share).select("vector").collect() or nodes.select("vector").head(1)
         learned = Codes(_units([r.vector for r in drawn], dtype, dims), total[0], cosine)
         codes = spark.sparkContext.broadcast(learned)
         dealt = scratch(
