@@ -28,17 +28,24 @@ from duosync.llm.common import Scratch
 
 CAPACITY = 2048
 END_ID = 1
-# Distinct strings a worker remembers; then it starts over. About 100 bytes each.
-REMEMBERED = 300_000
+# Distinct strings a worker remembers; then it starts over. About 200 bytes each.
+REMEMBERED = 500_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
     " _task int, _class int, _nth long"
 )
 
-# The pre-tokens of lower-case ASCII text without white space, as the vocabulary file defines them.
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_TAIL = ".,;:!?"
+# Beyond these characters lower case and normal forms depend on neighbours, or on tables that
+# the tokenizer's library has in another version; one letter among them becomes two.
+_FAR = re.compile("[^\x00-\u012f\u0131-\u017f]")
+# The pre-tokens of other lower-case text, as the vocabulary file defines them.
+_LETTER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+_SPACE = "\t-\r \x85\xa0"
+_WORDS = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}{_SPACE}]+"
+)
 
 
 class Remembered(dict):
@@ -59,9 +66,10 @@ class Remembered(dict):
 class TokenBytes:
     """The ids of a text as little-endian 32-bit numbers, equal to one call of the tokenizer.
 
-    The vocabulary splits at white space, so the text is cut there and each distinct string is
-    tokenised once. Plain words go to the vocabulary's merges directly; whatever is not plainly
-    a lower-case Latin word goes through the whole tokenizer.
+    The vocabulary splits at white space and takes all cases as one, so a text is lower-cased and
+    cut there, and each distinct string is tokenised once. Its pre-tokens go to the vocabulary's
+    merges directly, and are strings to remember, too; a string with other than Latin characters
+    goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -69,7 +77,6 @@ class TokenBytes:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words = Remembered(self._merged)
         self.strings = Remembered(self._string)
         # Byte-level vocabularies name each byte by a printable character.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -81,30 +88,24 @@ class TokenBytes:
         return np.array(ids, "<u4").tobytes()
 
     def _merged(self, word: str) -> bytes:
+        if not (word.isascii() and word.isprintable()):
+            word = word.encode().decode("latin-1").translate(self.names)
         ids = [t.id for t in self.model.tokenize(word)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _letters(self, word: str) -> bytes | None:
-        """A word of Latin letters only, else None."""
-        if not word.isalpha() or max(word) > "ſ" or "İ" in word:
-            return None
-        raw = word.lower().encode().decode("latin-1")
-        return self.words[raw.translate(self.names)]
-
     def _string(self, string: str) -> bytes:
-        if "<|" in string:
-            return self._whole(string)
-        if string.isascii() and string.isprintable():
-            return b"".join(map(self.words.__getitem__, _ASCII.findall(string.lower())))
-        body = string.rstrip(_TAIL)
-        ids = self._letters(body) if body else None
-        if ids is None:
+        if _FAR.search(string):
             return self._whole(string)
-        return ids + self.words[string[len(body) :]] if len(body) < len(string) else ids
+        words = _WORDS.findall(string.lower())
+        if words == [string]:
+            return self._merged(string)
+        return b"".join(map(self.strings.__getitem__, words))
 
     def __call__(self, text: str) -> bytes:
         if "<|" in text:  # a special token's string may hold no white space, but cut nothing here
             return self._whole(text)
+        if not _FAR.search(text):
+            text = text.lower()
         return b"".join(map(self.strings.__getitem__, text.replace("\n", " ").split(" ")))
 
 

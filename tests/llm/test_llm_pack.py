@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from duosync.llm.common import Scratch
-from duosync.llm.pack import CAPACITY, TokenBytes, cut, pack
+from duosync.llm.pack import CAPACITY, Remembered, TokenBytes, cut, pack
 from duosync.llm.queries import tokenizer_file
 
 SCHEMA = "doc_id long, text string, length string, start string, _class string"
@@ -46,6 +46,22 @@ def test_ids_of_given_texts(spark):
     assert all(encode(r.text) == reference(r.text) for r in texts)
 
 
+def test_ids_of_each_latin_character():
+    encode = TokenBytes(tokenizer_file())
+    for c in map(chr, range(0x180)):
+        text = f"a{c}B {c} 1{c}{c}9 {c}'s'{c} e{c}\u0301 \u0130{c}\u2019{c}"
+        for part in (text, text[: text.index("\u0301")], text.upper()):
+            assert encode(part) == reference(part), hex(ord(c))
+
+
+def test_cases_are_remembered_once():
+    encode = TokenBytes(tokenizer_file())
+    text = "Word word WORD wOrd Word. word. WORD. \xc9tude \xe9tude"
+    assert encode(text) == reference(text)
+    kept = [d for d in vars(encode).values() if isinstance(d, Remembered)]
+    assert sum(map(len, kept)) == len({"word", "word.", ".", "\xe9tude"})
+
+
 def test_cut():
     for n in (1, 2, 3, 2047, 2048, 2049, 10_000):
         assert sum(cut(n, CAPACITY)) == n
