@@ -129,3 +129,20 @@ def test_components(spark):
     assert {r.node: r.component for r in got} == {x: root(x) for x in linked}
     none = components(spark.createDataFrame([], "u long, v long"), Scratch(spark))
     assert none.count() == 0
+
+
+def test_steps_of_components_are_few_files(spark):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = {name: spark.conf.get(name) for name in names}
+    edges = spark.createDataFrame([(i, i * 7 % 300) for i in range(300)], "u long, v long")
+    scratch = Scratch(spark)
+    try:
+        for name, value in zip(names, ("64", "false"), strict=True):
+            spark.conf.set(name, value)
+        scratch(components(edges, scratch))
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    written = [spark.read.parquet(f"{scratch.folder}/{i}") for i in range(scratch.count)]
+    assert len(written) > 5
+    assert max(len(df.inputFiles()) for df in written[1:]) <= 8
