@@ -5,6 +5,7 @@ from datetime import timedelta
 
 import pytest
 from helpers import DAY, feed, now, rows, tables
+from pyspark.sql import functions as F
 from test_legacy_flows import account, target, ver
 from test_modern_accounts import PROVE, add, update
 from test_modern_deposits import start
@@ -174,6 +175,16 @@ def test_feeds_survive_the_union(spark):
         assert flat(back[name]) == flat(df)
 
 
+def test_errors_survive_the_union(spark):
+    frames = feeds(spark)
+    first = min(frames)
+    frames[first] = frames[first].withColumn("error", F.lit("bad"))
+    back = split_feeds(union_feeds(frames), frames)
+    for name, df in back.items():
+        assert {r.error for r in df.select("error").collect()} <= ({"bad"} if name == first else {None})
+    assert back[first].filter("error = 'bad'").count() == frames[first].count()
+
+
 def test_strict_keys_reject(spark):
     t = tables(spark)
     ev = {"attempt": feed(spark, "attempt", [tried(1, 99)])}
