@@ -28,20 +28,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: the one with the smallest id, null ids last.
 
     Every row is a document of its own, whatever its id: copies with null or shared ids are found
-    like others, and unlike texts with one id all stay, as does every row without words.
+    like others, and unlike texts with one id all stay, as does every row without words. What the
+    search has written goes before the documents kept are read.
     """
-    scratch, row = Scratch(spark), "_row"
+    scratch, search, row = Scratch(spark), Scratch(spark), "_row"
     while row in docs.columns:
         row += "_"
     keyed = scratch(docs.withColumn(row, F.monotonically_increasing_id()))
-    found = near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), Scratch(spark))
-    first = (
+    found = near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), search)
+    first = scratch(
         found.select(F.col("doc_id").alias(row), "component_id")
         .join(keyed.select(row, "doc_id"), row)
         .groupBy("component_id")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).getField(row).alias(row))
+        .select(row)
     )
-    return keyed.join(first.select(row), row, "left_semi").select(docs.columns)
+    search.release()
+    return keyed.join(first, row, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

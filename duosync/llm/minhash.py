@@ -18,9 +18,9 @@ With 32 bands of 4, two documents at similarity 0.75 share no bucket once in 190
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -38,6 +38,8 @@ HASHES = BANDS * ROWS
 LEAST_AGREEMENT = 0.55
 # Members of a bucket that one task compares at a time.
 BLOCK = 512
+# Rounds over the bands in which buckets are gone through.
+ROUNDS = 4
 SEED = 20_240_229
 REMEMBERED = 200_000
 
@@ -197,9 +199,9 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PAIR = "u long, v long"
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """Of pairs (u, v) of nodes those whose full sets are linked."""
-    signed = sketches.select("node", "signature")
+    signed, sets = sets.select("node", "signature"), sets.select("node", "items")
     likely = scratch(
         pairs.join(signed.toDF("u", "su"), "u")
         .join(signed.toDF("v", "sv"), "v")
@@ -214,44 +216,48 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, scratch:
     )
 
 
-def _across(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+def _across(key: tuple, rows: pa.Table) -> pa.Table:
     """Links of a block pair's members in different components, as far as they join components."""
-    node, label = frame["node"].to_numpy(), frame["component"].to_numpy().copy()
-    side, band = frame["side"].to_numpy(), int(frame["band"].iloc[0])
-    signed = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(-1, HASHES)
-    sets = [np.frombuffer(items, np.uint64) for items in frame["items"]]
-    least, found = LEAST_AGREEMENT * HASHES, []
+    node, label = rows.column("node").to_numpy(), rows.column("component").to_numpy().copy()
+    side, band = rows.column("side").to_numpy(), rows.column("band")[0].as_py()
+    signed = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+    sets = [np.frombuffer(items.as_py(), np.uint64) for items in rows.column("items")]
+    least, blocks, u, v = LEAST_AGREEMENT * HASHES, key[1].as_py() != key[2].as_py(), [], []
     for i in range(len(node) - 1):
         other = label[i + 1 :] != label[i]
-        if key[1] != key[2]:
+        if blocks:
             other &= side[i + 1 :] != side[i]
         at = np.flatnonzero(other) + i + 1
         equal = signed[at] == signed[i]
         first = equal.reshape(len(at), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
         for j in at[first & (np.count_nonzero(equal, axis=1) >= least)]:
             if label[j] != label[i] and linked(sets[i], sets[j]):
-                found.append((node[i], node[j]))
+                u.append(node[i])
+                v.append(node[j])
                 label[label == label[j]] = label[i]
-    return pd.DataFrame(found, columns=["u", "v"], dtype=np.int64)
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
-def _remaining(
-    members: DataFrame, sketches: DataFrame, sets: DataFrame, scratch: Scratch
-) -> DataFrame:
+def _remaining(members: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """Links still missing: of (bucket, band, node, component) rows, across components.
 
     A bucket's members are dealt into blocks, and each pair of blocks is one group, so no task
-    holds more than two blocks of a bucket.
+    holds more than two blocks of a bucket. The bands are gone through in ``ROUNDS`` rounds: a
+    node's set is sent to every group of the node, and only those of one round are on disk.
     """
-    sizes = (
-        members.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .filter("low <> high")
-        .select("bucket", "n")
-    )
-    dealt = block_pairs(members, sizes, "bucket", "node", BLOCK, scratch)
-    sides = dealt.join(sketches.select("node", "signature"), "node").join(sets, "node")
-    return scratch(sides.groupBy("bucket", "i", "j").applyInPandas(_across, PAIR).distinct())
+    links = []
+    for turn in range(ROUNDS):
+        some = members.filter(F.col("band") % ROUNDS == turn)
+        sizes = (
+            some.groupBy("bucket")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+            .filter("low <> high")
+            .select("bucket", "n")
+        )
+        sides = block_pairs(some, sizes, "bucket", "node", BLOCK, scratch).join(sets, "node")
+        found = sides.groupBy("bucket", "i", "j").applyInArrow(_across, PAIR)
+        links.append(scratch(found.distinct()))
+    return reduce(DataFrame.unionByName, links)
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -288,15 +294,15 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     sets = scratch(
         made.groupBy("node", "digest")
         .agg(F.first("items").alias("items"))
-        .join(nodes.select("node", "digest"), ["node", "digest"], "left_semi")
-        .select("node", "items")
+        .join(nodes, ["node", "digest"])
+        .select("node", "signature", "items")
     )
-    links = _confirmed(stars.distinct(), nodes, sets, scratch)
+    links = _confirmed(stars.distinct(), sets, scratch)
     found = scratch(components(links, scratch))
     placed = members.join(found, "node", "left").select(
         "bucket", "band", "node", F.coalesce("component", "node").alias("component")
     )
-    more = _remaining(scratch(placed), nodes, sets, scratch)
+    more = _remaining(scratch(placed), sets, scratch)
     rows = scratch(
         sketched.select("doc_id", "n_shingles", "digest").join(
             nodes.select("digest", "node"), "digest", "left"

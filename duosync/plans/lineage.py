@@ -4,16 +4,22 @@ A flow reads its enriched events many times, and each reading would plan and run
 joins before it again. ``Scratch`` writes such a frame once into the folder the session names
 for checkpoints and reads it back: the plan starts over, only the needed columns are read,
 and the optimizer knows the true size. The files outlive a lost executor.
+
+The shuffle files that a frame took go when it is written: nothing reads them again. Otherwise they
+stay until the driver happens to collect garbage, and those of many steps add up on disk.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -42,6 +48,20 @@ def _on_store(spark: SparkSession, path: str, act):
     return act(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside delete their shuffle files at their end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 class Scratch:
     """Written frames of one batch; ``release`` deletes them."""
 
@@ -53,7 +73,8 @@ class Scratch:
     def __call__(self, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{self.count}"
         self.count += 1
-        df.write.parquet(path)
+        with shuffles_go(df.sparkSession):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:

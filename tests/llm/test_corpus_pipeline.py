@@ -1,5 +1,6 @@
 """The pipeline against brute-force versions of its stages."""
 
+import os
 import uuid
 
 import pytest
@@ -99,3 +100,13 @@ def test_rows_with_null_and_shared_ids(spark):
     assert got.columns == docs.columns
     kept = sorted((str(r.doc_id), str(r.text)) for r in got.collect())
     assert kept == sorted([("5", LONG), ("7", other), ("7", third), ("9", "None"), ("None", "None")])
+
+
+def test_near_dedup_keeps_its_copy_and_its_choice_only(spark):
+    folder = checkpoint_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    docs = spark.createDataFrame([(1, LONG), (2, LONG), (3, "other")], "doc_id long, text string")
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    (made,) = set(os.listdir(folder)) - before
+    assert len(os.listdir(f"{folder}/{made}")) == 2
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3]

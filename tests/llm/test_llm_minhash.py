@@ -1,9 +1,11 @@
 import collections
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import duosync.llm.minhash as minhash
 from duosync.llm.common import Scratch
@@ -146,3 +148,20 @@ def test_steps_of_components_are_few_files(spark):
     written = [spark.read.parquet(f"{scratch.folder}/{i}") for i in range(scratch.count)]
     assert len(written) > 5
     assert max(len(df.inputFiles()) for df in written[1:]) <= 8
+
+
+def test_a_written_frame_leaves_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(setting)
+    numbers = spark.range(20_000).withColumn("k", F.xxhash64("id"))
+    written = Scratch(spark)(numbers.groupBy("k").count().orderBy("k"))
+    end = time.monotonic() + 10
+    while files() - before and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not files() - before
+    assert written.count() == 20_000 and spark.conf.get(setting) == was
