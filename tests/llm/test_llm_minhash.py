@@ -158,7 +158,7 @@ def test_a_written_frame_leaves_no_shuffle_files(spark):
 
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before, was = files(), spark.conf.get(setting)
-    numbers = spark.range(20_000).withColumn("k", F.xxhash64("id"))
+    numbers = spark.range(0, 20_000, 1, 4).withColumn("k", F.xxhash64("id"))
     written = Scratch(spark)(numbers.groupBy("k").count().orderBy("k"))
     end = time.monotonic() + 10
     while files() - before and time.monotonic() < end:
